@@ -40,8 +40,8 @@ def _resolve_entities(texts: pd.Series) -> pd.Series:
 
 
 def unescape_html(text: Column) -> Column:
-    """Resolve HTML entities. Only rows that hold an ampersand change, the rest pass as they are."""
-    return F.when(text.contains("&"), _resolve_entities(text)).otherwise(text)
+    """Resolve HTML entities. Only texts that hold an ampersand are sent to Python."""
+    return F.coalesce(_resolve_entities(F.when(text.contains("&"), text)), text)
 
 
 def replace_literals(text: Column, pairs=REPLACEMENTS) -> Column:

@@ -45,7 +45,7 @@ def platform_sentiment(posts: DataFrame, now, seconds: int = LOOK_BACK_SECONDS)
     recent = posts.filter(since(F.col("created_at_epoch_ms"), now, seconds * 1000))
     means = recent.agg(
         *[
-            F.avg(F.when(F.col("post_type").isin(kinds), weighted_sentiment()).cast("double")).alias(name)
+            F.avg(F.when(F.col("post_type").isin(kinds), weighted_sentiment())).alias(name)
             for name, kinds in PLATFORMS.items()
         ]
     )
@@ -64,7 +64,7 @@ def combined_index(published: DataFrame, now, name: str = COMBINED) -> DataFrame
         & since(F.col("created_at_epoch_ms"), now, F.col("sentiment_seconds_back") * 1000)
     )
     means = recent.groupBy("sentiment_seconds_back").agg(
-        (50 * F.avg((F.lit("0.5").cast("decimal(2,1)") + F.col("sentiment_absolute")).cast("double"))).alias("mean")
+        (50 * F.avg(F.lit("0.5").cast("decimal(2,1)") + F.col("sentiment_absolute"))).alias("mean")
     )
     return _rows(means, F.lit(name), F.col("sentiment_seconds_back"), now, F.col("mean"))
 
@@ -101,7 +101,7 @@ def external_ensemble(published: DataFrame, now, seconds: int = LOOK_BACK_SECOND
         F.col("sentiment_type").isin(NEWS_EXTERNAL, SOCIAL_EXTERNAL)
         & since(F.col("created_at_epoch_ms"), now, seconds * 1000)
     )
-    mean = recent.agg(F.avg(F.col("sentiment_absolute").cast("double")).alias("mean"))
+    mean = recent.agg(F.avg("sentiment_absolute").alias("mean"))
     return _rows(mean, F.lit(GLOBAL_EXTERNAL), F.lit(seconds), now, F.col("mean"))
 
 
@@ -130,7 +130,7 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
         .filter(F.col("platform").isNotNull())
         .groupBy("platform", F.col("created_at_epoch_ms").alias("ms"))
         .agg(
-            F.sum(weighted_sentiment()).cast("decimal(30,3)").alias("weight"),
+            F.sum(weighted_sentiment()).cast("decimal(24,4)").alias("weight"),
             F.count("sentiment_mixed").alias("rated"),
             F.count("*").alias("posts"),
         )
@@ -163,7 +163,7 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
         F.col("ms").alias("created_at_epoch_ms"),
         (F.col("posts") + F.col("posts_before")).alias("n_posts"),
         (
-            F.when(rated > 0, (F.col("weight") + F.col("weight_before")).cast("double") / rated)
+            F.when(rated > 0, (F.col("weight") + F.col("weight_before")).cast("decimal(24,4)") / rated)
         ).cast(INDEX_VALUE).alias("sentiment_absolute"),
     )
 

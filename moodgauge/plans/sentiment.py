@@ -138,10 +138,11 @@ def publish_indices(spark, sf_dir):
     f"""WITH {t.POSTS},
 r AS (SELECT *, CASE WHEN post_type = 'stocktwit' THEN 'stocktwits' ELSE 'twitter' END AS platform FROM posts),
 w AS (SELECT platform, created_at_epoch_ms, count(*) OVER s AS n_posts,
-        CAST(sum(impact * (sentiment_mixed - 0.5)) OVER s AS DOUBLE) / count(*) OVER s AS mean
+        CAST(sum(impact * (sentiment_mixed - 0.5)) OVER s * 10000 AS BIGINT) AS total
       FROM r WINDOW s AS (PARTITION BY platform ORDER BY created_at_epoch_ms
                           RANGE BETWEEN 43200000 PRECEDING AND CURRENT ROW))
-SELECT DISTINCT platform, created_at_epoch_ms, n_posts, CAST(CAST(mean AS DECIMAL(10,3)) AS DOUBLE) AS sentiment_absolute
+SELECT DISTINCT platform, created_at_epoch_ms, n_posts,
+       sign(total) * ((2 * abs(total) + 10 * n_posts) // (20 * n_posts)) / 1000.0 AS sentiment_absolute
 FROM w""",
 )
 def trailing_sentiment(spark, sf_dir):

@@ -154,7 +154,7 @@ def documents(spark, sf_dir) -> DataFrame:
 
 
 TOKENS = r"""
-docs AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), x -> x <> '') AS tokens
+docs AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS tokens
          FROM documents),
 tok AS (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM docs),
 cnt AS (SELECT token, count(*) AS n FROM tok GROUP BY token)"""

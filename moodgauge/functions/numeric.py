@@ -12,11 +12,21 @@ def impact(post_type: Column, likes: Column, interactions: Column) -> Column:
     return 1 + F.coalesce(likes, F.lit(0)) + weight * F.coalesce(interactions, F.lit(0))
 
 
+def _once(value: Column, use) -> Column:
+    """Evaluate `value` one time and hand it to `use`; a plain Column would be repeated per element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def softmax(scores: Column) -> Column:
     """Row softmax of an array, shifted by its maximum."""
-    shifted = F.transform(scores.cast("array<double>"), lambda v: F.exp(v - F.array_max(scores)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(shifted, lambda v: v / total)
+
+    def shares(exps):
+        return _once(F.aggregate(exps, F.lit(0.0), lambda a, v: a + v), lambda total: F.transform(exps, lambda v: v / total))
+
+    def exponentials(array):
+        return _once(F.array_max(array), lambda top: F.transform(array, lambda v: F.exp(v - top)))
+
+    return _once(scores.cast("array<double>"), lambda array: _once(exponentials(array), shares))
 
 
 def argmax(scores: Column) -> Column:

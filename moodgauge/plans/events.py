@@ -64,9 +64,8 @@ def to_request(spark, sf_dir):
     return requests.select("msgType", "data.id", "data.text")
 
 
-def _scored(spark, sf_dir):
-    """Requests with scores made from the post's id."""
-    requests = posts.to_request(t.raw_posts(spark, sf_dir))
+def score_by_id(requests):
+    """Scores made from the post's id, so that the result is known."""
     number = F.col("data.id")
     bull, vader = (number % 103) / 102, (number % 107) / 106
     values = F.struct(
@@ -93,7 +92,7 @@ flat AS (SELECT msgType AS post_type, post_id, text AS body,
 
 @query("flatten_posts", f"WITH {t.TURNS}, {_FLAT} SELECT *, CAST(1 AS DOUBLE) AS impact FROM flat")
 def flatten_posts(spark, sf_dir):
-    rows = posts.flatten(_scored(spark, sf_dir))
+    rows = posts.flatten(score_by_id(posts.to_request(t.raw_posts(spark, sf_dir))))
     doubles = ["impact", "sentiment_ml_model", "sentiment_vader_normalized", "sentiment_mixed"]
     return rows.select(*[F.col(c).cast("double").alias(c) if c in doubles else c for c in rows.columns])
 

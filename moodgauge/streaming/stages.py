@@ -42,7 +42,7 @@ def sliding_sentiment(events: DataFrame, event_time: str, slide: str = "30 secon
         rated.filter(F.col("sentiment_type").isNotNull())
         .withWatermark(event_time, delay)
         .groupBy(F.window(event_time, length, slide), "sentiment_type")
-        .agg(F.avg(indices.weighted_sentiment().cast("double")).alias("sentiment_absolute"))
+        .agg(F.avg(indices.weighted_sentiment()).alias("sentiment_absolute"))
     )
 
 
@@ -98,9 +98,9 @@ class Ingest:
         changed = impact.changed(relevant, self.store.impacts(start, batch_id))
         stamps = recent.select("post_type", F.col("post_id").alias("message_id"), "created_at_epoch_ms")
         self.store.append_impacts(changed.join(stamps, impact.KEY), batch_id)
-        rows = indices.publish_all(
-            self.store.posts(start, batch_id + 1), self.store.indices(start, batch_id), self.feeds(start), now
-        )
+        # a moment published before is replaced, not averaged in
+        published = self.store.indices(start, batch_id).filter(F.col("created_at_epoch_ms") < now)
+        rows = indices.publish_all(self.store.posts(start, batch_id + 1), published, self.feeds(start), now)
         self.store.append_indices(rows, batch_id)
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:

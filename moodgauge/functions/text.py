@@ -95,10 +95,14 @@ def model_input(text: Column) -> Column:
     return tag_for_scoring(clean_post(text))
 
 
+#: What the pattern \s matches, for trimming.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def words(text: Column, lower: bool = True) -> Column:
     """Whitespace tokens without empty ones."""
-    text = F.lower(text) if lower else text
-    return F.filter(F.split(text, r"\s+"), lambda token: token != "")
+    bare = F.btrim(F.lower(text) if lower else text, F.lit(WHITESPACE))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"\s+"))
 
 
 def split_label_prefix(line: Column, width: int = 10) -> tuple[Column, Column]:

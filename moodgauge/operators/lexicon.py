@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodgauge.functions.text import words
+
 # Fixed values of the published rules.
 INTENSIFY = 0.293
 CAPS = 0.733
@@ -31,34 +33,34 @@ NEGATIONS = [
     "wont", "won't", "wouldnt", "wouldn't",
 ]
 CONTRAST = "but"
-_EDGE = "[!\"#$%&'()*+,\\-./:;<=>?@\\[\\\\\\]^_`{|}~]+"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _strip_edges(word: Column) -> Column:
     """Drop punctuation around a word, unless two characters or fewer would stay."""
-    bare = F.regexp_replace(word, f"^{_EDGE}|{_EDGE}$", "")
+    bare = F.btrim(word, F.lit(PUNCTUATION))
     return F.when(F.length(bare) <= 2, word).otherwise(bare)
 
 
+def _token(word: Column) -> Column:
+    return F.lower(_strip_edges(word))
+
+
 def _shouted(word: Column) -> Column:
+    """Upper-case letters only; punctuation has no case, so it may stay."""
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def _marked_words(text: Column, boosters, dampeners, negations) -> Column:
-    raw = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+def _later(array: Column, by: int) -> Column:
+    """The array moved `by` places to the right."""
+    return F.concat(F.array(*[F.lit(None).cast("string")] * by), array)
 
-    def mark(word):
-        bare = _strip_edges(word)
-        token = F.lower(bare)
-        boost = F.when(token.isin(list(boosters)), INTENSIFY).when(token.isin(list(dampeners)), -INTENSIFY)
-        return F.struct(
-            token.alias("token"),
-            _shouted(bare).alias("shouted"),
-            F.coalesce(boost, F.lit(0.0)).alias("boost"),
-            token.isin(list(negations)).alias("negates"),
-        )
 
-    return F.transform(raw, mark)
+def _emphasis(text: Column) -> Column:
+    exclamations = F.least(F.length(F.regexp_replace(text, "[^!]", "")), F.lit(MOST_EXCLAMATIONS))
+    questions = F.length(F.regexp_replace(text, "[^?]", ""))
+    asked = F.when(questions <= 1, 0.0).when(questions <= MOST_QUESTIONS, questions * QUESTION)
+    return (exclamations * EXCLAMATION + asked.otherwise(MANY_QUESTIONS)).cast("double")
 
 
 def score_texts(
@@ -67,64 +69,56 @@ def score_texts(
 ) -> DataFrame:
     """(key, compound): sentiment of every text in [-1, 1], 0 where no word is known.
 
-    Each word carries the marks of the three words before it, so the look-back needs no window and
-    no ordering. Only words found in the lexicon weigh; sums are combined before the shuffle, which
+    Each word travels with the three words before it, so the look-back needs no window and no
+    ordering. Only words found in the lexicon weigh; sums are combined before the shuffle, which
     moves one small row per text. The lexicon is not hinted: the planner broadcasts a small one.
     """
-    marked = texts.select(
-        key,
-        F.col(text).alias("_text"),
-        _marked_words(F.col(text), boosters, dampeners, negations).alias("_words"),
-    )
-    shouting = F.exists("_words", lambda w: w["shouted"]) & ~F.forall("_words", lambda w: w["shouted"])
-    exclamations = F.least(F.length(F.regexp_replace("_text", "[^!]", "")), F.lit(MOST_EXCLAMATIONS))
-    questions = F.length(F.regexp_replace("_text", "[^?]", ""))
-    emphasis = exclamations * EXCLAMATION + F.when(questions <= 1, 0.0).when(
-        questions <= MOST_QUESTIONS, questions * QUESTION
-    ).otherwise(MANY_QUESTIONS)
-    marked = marked.select(
+    split = texts.select(key, F.col(text).alias("_text"), words(F.col(text), lower=False).alias("_words"))
+    turn = F.array_position(F.transform("_words", _token), contrast)
+    marked = split.select(
         key,
         "_words",
-        shouting.alias("_mixed_case"),
-        emphasis.cast("double").alias("_emphasis"),
-        F.array_position(F.transform("_words", lambda w: w["token"]), contrast).alias("_turn"),
+        (F.exists("_words", _shouted) & ~F.forall("_words", _shouted)).alias("_mixed_case"),
+        _emphasis(F.col("_text")).alias("_emphasis"),
+        F.when(F.lower("_text").contains(contrast), turn).otherwise(0).alias("_turn"),
+    )
+    neighbours = F.arrays_zip(
+        F.col("_words").alias("word"), *[_later(F.col("_words"), d).alias(f"near{d}") for d in (1, 2, 3)]
+    )
+    exploded = marked.select(
+        key, "_mixed_case", "_emphasis", "_turn", F.posexplode_outer(neighbours).alias("_place", "w")
+    )
+    exploded = exploded.select(
+        key, "_mixed_case", "_emphasis", "_turn", "_place", "w.*", _token(F.col("w.word")).alias("token")
     )
-
-    def with_look_back(word, position):
-        fields = [word["token"].alias("token"), word["shouted"].alias("shouted"), (position + 1).alias("place")]
-        for distance in (1, 2, 3):
-            near = F.get("_words", position - distance)
-            fields += [
-                F.coalesce(near["boost"], F.lit(0.0)).alias(f"boost{distance}"),
-                (F.coalesce(near["shouted"], F.lit(False)) & (near["boost"] != 0)).alias(f"loud{distance}"),
-                F.coalesce(near["negates"], F.lit(False)).alias(f"negated{distance}"),
-            ]
-        return F.struct(*fields)
-
-    words = marked.select(
-        key, "_mixed_case", "_emphasis", "_turn",
-        F.explode_outer(F.transform("_words", with_look_back)).alias("w"),
-    ).select(key, "_mixed_case", "_emphasis", "_turn", "w.*")
     known = lexicon.groupBy("token").agg(F.max("valence").cast("double").alias("valence"))
-    words = words.join(known, "token", "left")
-
-    value = F.col("valence") + F.when(
-        F.col("shouted") & F.col("_mixed_case"), F.signum("valence") * CAPS
-    ).otherwise(0.0)
-    words = words.withColumn("_value", value)
+    found = exploded.join(known, "token", "left")
+
+    loud = F.when(_shouted(F.col("word")) & F.col("_mixed_case"), F.signum("valence") * CAPS).otherwise(0.0)
+    found = found.withColumn("_value", F.col("valence") + loud)
+    # the words before are looked at for known words only
+    known_word = F.col("valence").isNotNull()
+    found = found.select(
+        key, "_mixed_case", "_emphasis", "_turn", "_place", "_value",
+        *[F.when(known_word, F.col(f"near{d}")).alias(f"near{d}") for d in (1, 2, 3)],
+        *[F.when(known_word, _token(F.col(f"near{d}"))).alias(f"_token{d}") for d in (1, 2, 3)],
+    )
     for distance, damping in enumerate(DISTANCE, start=1):
+        near, value = F.col(f"_token{distance}"), F.col("_value")
+        boost = F.when(near.isin(list(boosters)), INTENSIFY).when(near.isin(list(dampeners)), -INTENSIFY)
         # a loud booster boosts more, a dampener that is shouted damps less
-        loud = F.when(F.col(f"loud{distance}") & F.col("_mixed_case"), CAPS).otherwise(0.0)
-        push = F.signum("_value") * damping * (F.col(f"boost{distance}") + loud)
-        turned = F.when(F.col(f"negated{distance}"), NEGATE).otherwise(1.0)
-        words = words.withColumn("_value", (F.col("_value") + push) * turned)
+        louder = F.when(F.col("_mixed_case") & _shouted(F.col(f"near{distance}")), CAPS).otherwise(0.0)
+        push = F.coalesce(F.signum(value) * damping * (boost + louder), F.lit(0.0))
+        turned = F.when(near.isin(list(negations)), NEGATE).otherwise(1.0)
+        found = found.withColumn("_value", F.when(value.isNotNull(), (value + push) * turned))
+    place = F.col("_place") + 1
     side = (
         F.when(F.col("_turn") == 0, 1.0)
-        .when(F.col("place") < F.col("_turn"), BEFORE_BUT)
-        .when(F.col("place") > F.col("_turn"), AFTER_BUT)
+        .when(place < F.col("_turn"), BEFORE_BUT)
+        .when(place > F.col("_turn"), AFTER_BUT)
         .otherwise(1.0)
     )
-    sums = words.groupBy(key).agg(
+    sums = found.groupBy(key).agg(
         F.coalesce(F.sum(F.col("_value") * side), F.lit(0.0)).alias("_sum"), F.max("_emphasis").alias("_emphasis")
     )
     total = F.col("_sum") + F.signum("_sum") * F.coalesce("_emphasis", F.lit(0.0))

@@ -1,5 +1,6 @@
 """Text classifier, its evaluation, and topics: Spark ML estimators on post text."""
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
@@ -77,14 +78,16 @@ def bag_of_words(posts: DataFrame, text: str = "body", vocabulary: int = TOPIC_V
     model = CountVectorizer(
         inputCol="_tokens", outputCol="features", vocabSize=vocabulary, minTF=0.0, minDF=0.0, binary=True
     ).fit(tokens)
-    return model, model.transform(tokens).drop("_tokens")
+    return model, model.transform(tokens).drop("_tokens", text)
 
 
 def topics(posts: DataFrame, text: str = "body", k: int = TOPICS, iterations: int = TOPIC_ITERATIONS,
            vocabulary: int = TOPIC_VOCABULARY, terms: int = TERMS_PER_TOPIC, seed: int = 1) -> DataFrame:
     """(topic, terms, weights): the strongest terms of every topic."""
     words, vectors = bag_of_words(posts.select(text), text, vocabulary)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = LDA(k=k, maxIter=iterations, seed=seed).fit(vectors)
+    vectors.unpersist()
     # k rows; the vocabulary is capped above
     vocab = F.array(*[F.lit(term) for term in words.vocabulary])
     found = model.describeTopics(terms)

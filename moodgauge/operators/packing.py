@@ -39,7 +39,7 @@ def pack(docs: DataFrame, key: str, ids: str = "ids", block: int = BLOCK, lanes:
 
     pieces = placed.select(
         ids, "_start", "_end", "_lane_len", "_per_lane",
-        F.explode(F.sequence(slot(F.col("_start")), slot(F.col("_end") - 1))).alias("_slot"),
+        F.explode_outer(F.sequence(slot(F.col("_start")), slot(F.col("_end") - 1))).alias("_slot"),
     )
     lane = F.floor(F.col("_slot") / F.col("_per_lane")).cast("bigint")
     number = F.col("_slot") - lane * F.col("_per_lane")

@@ -15,8 +15,13 @@ UNKNOWN_ID, PAD_ID = 0, 1
 
 
 def token_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(token, n) over all documents."""
-    return docs.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    """(token, n) over all documents.
+
+    The outer form of explode keeps the planner from adding a filter on the list's size below it,
+    which would tokenise every text twice.
+    """
+    exploded = docs.select(F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
+    return exploded.groupBy("token").agg(F.count("*").alias("n"))
 
 
 def most_common(counts: DataFrame, k: int = 25) -> DataFrame:
@@ -48,12 +53,13 @@ def encode(docs: DataFrame, vocabulary: DataFrame, key: str, tokens: str = "toke
     table = F.broadcast(vocabulary.select("token", "id"))
     exploded = docs.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
     found = exploded.join(table, "token", "left")
-    pair = F.when(
-        F.col("_pos").isNotNull(),
-        F.struct(F.col("_pos"), F.coalesce(F.col("id"), F.lit(UNKNOWN_ID)).alias("id")),
+    # position and id share a long: half the bytes of a struct, and sorted as a number
+    place = F.shiftleft(F.col("_pos").cast("bigint"), 32)
+    packed = place + F.coalesce(F.col("id"), F.lit(UNKNOWN_ID)).cast("bigint")
+    lists = found.groupBy(key).agg(F.sort_array(F.collect_list(packed)).alias("_packed"))
+    return lists.select(
+        key, F.transform("_packed", lambda p: p.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias("ids")
     )
-    lists = found.groupBy(key).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
-    return lists.select(key, F.transform("_pairs", lambda p: p["id"]).alias("ids"))
 
 
 def mean_vector(vectors: DataFrame, column: str) -> DataFrame:

@@ -105,6 +105,13 @@ def _encoded(spark, sf_dir):
     return vocabulary.encode(t.documents(spark, sf_dir), _stored_vocabulary(spark, sf_dir), "doc_id")
 
 
+def _stored_ids(spark, sf_dir):
+    """Encoded documents as a written table: packing reads it more than once."""
+    path = scratch_path(spark, "ids")
+    _encoded(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _as_text(df):
     return df.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), " "))
 
@@ -126,7 +133,7 @@ _SEQUENCE = "sequence AS (SELECT id, row_number() OVER (ORDER BY doc_id, pos) -
 SELECT 0 AS lane, place // 70 AS block, string_agg(id, ' ' ORDER BY place) AS ids FROM sequence GROUP BY block""",
 )
 def pack_sequences(spark, sf_dir):
-    return _as_text(packing.pack(_encoded(spark, sf_dir), "doc_id"))
+    return _as_text(packing.pack(_stored_ids(spark, sf_dir), "doc_id"))
 
 
 @query(
@@ -136,7 +143,7 @@ placed AS (SELECT id, place, place // (total // 52) AS lane, place % (total // 5
 SELECT lane, inside // 70 AS block, string_agg(id, ' ' ORDER BY place) AS ids FROM placed WHERE lane < 52 GROUP BY ALL""",
 )
 def lane_blocks(spark, sf_dir):
-    return _as_text(packing.pack(_encoded(spark, sf_dir), "doc_id", lanes=packing.LANES))
+    return _as_text(packing.pack(_stored_ids(spark, sf_dir), "doc_id", lanes=packing.LANES))
 
 
 def _lengths(spark, sf_dir):
@@ -257,7 +264,8 @@ def _lexicon(spark, sf_dir):
 
 
 _UP, _DOWN, _NOT, _TURN = ["the", "que"], ["in", "un"], ["is", "est"], "on"
-_EDGES = lexicon._EDGE.replace("'", "''")
+# the edge punctuation as a pattern
+_EDGES = "[!\"#$%&''()*+,\\-./:;<=>?@\\[\\\\\\]^_`{|}~]+"
 
 
 def _bare(word):
@@ -304,7 +312,7 @@ total AS (SELECT doc_id, coalesce(s, 0) + sign(coalesce(s, 0)) * CAST(e AS DOUBL
 )
 def lexicon_score(spark, sf_dir):
     scored = lexicon.score_texts(
-        t.table(spark, sf_dir, "documents"), "doc_id", "text", _lexicon(spark, sf_dir), _UP, _DOWN, _NOT, _TURN
+        t.texts(spark, sf_dir), "doc_id", "text", _lexicon(spark, sf_dir), _UP, _DOWN, _NOT, _TURN
     )
     return scored.withColumn("vader", numeric.to_unit_range(F.col("compound")))
 
@@ -312,7 +320,7 @@ def lexicon_score(spark, sf_dir):
 def _training(spark, sf_dir):
     """Labelled documents in the form the classifier reads."""
     labels = t.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("labels"))
-    docs = t.table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    docs = t.texts(spark, sf_dir).join(labels, "doc_id")
     return docs.withColumn("text", text.model_input(F.col("text")))
 
 
@@ -346,7 +354,7 @@ def learning_curve(spark, sf_dir):
 
 @query("topics")
 def topics(spark, sf_dir):
-    return models.topics(t.table(spark, sf_dir, "documents").select(F.col("text").alias("body")), k=20)
+    return models.topics(t.texts(spark, sf_dir).select(F.col("text").alias("body")), k=20)
 
 
 @query("score_events")

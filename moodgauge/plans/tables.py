@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from moodgauge.functions.numeric import impact
 from moodgauge.functions.text import words
 from moodgauge.schemas import IMPACT, INDEX_VALUE, SCORE
+from moodgauge.sources.readers import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,9 +149,14 @@ a AS (SELECT c_custkey AS id, c_name AS name, 'user' || c_custkey AS screen_name
              c_mktsegment AS segment, c_nationkey AS nation FROM customer)"""
 
 
+def texts(spark, sf_dir) -> DataFrame:
+    """(doc_id, text)"""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def documents(spark, sf_dir) -> DataFrame:
     """(doc_id, tokens)"""
-    return table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("tokens"))
+    return texts(spark, sf_dir).select("doc_id", words(F.col("text")).alias("tokens"))
 
 
 TOKENS = r"""

@@ -4,35 +4,40 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, Tokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, RegexTokenizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodgauge.functions.numeric import argmax
+from moodgauge.functions.text import words
 from moodgauge.operators.metrics import binary_metrics
+from moodgauge.operators.ordering import top_by_count
 from moodgauge.operators.splits import sample_rows
-from moodgauge.operators.vocabulary import MAX_TOKENS, MIN_COUNT
+from moodgauge.operators.vocabulary import MAX_TOKENS, MIN_COUNT, token_counts
 
 # Fixed values of the topic job.
 TOPIC_VOCABULARY, TOPICS, TOPIC_ITERATIONS, TERMS_PER_TOPIC = 5000, 100, 5, 3
 
 
-def classifier(text: str = "text", label: str = "labels", vocabulary: int = MAX_TOKENS,
-               min_count: int = MIN_COUNT, iterations: int = 20, l2: float = 0.01) -> Pipeline:
-    """Two-class text classifier over weighted token counts."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+"),
-            CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=vocabulary, minDF=float(min_count)),
-            IDF(inputCol="_counts", outputCol="_features"),
-            LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=l2),
-        ]
-    )
+def _vocabulary(corpus: DataFrame, text: str, limit: int, min_count: int) -> list[str]:
+    """The most frequent tokens, at most `limit` strings. Counted and cut by aggregates."""
+    counts = token_counts(corpus.select(words(F.col(text)).alias("tokens")))
+    top = top_by_count(counts.filter(F.col("n") > min_count), limit)
+    return [row.token for row in top.orderBy("rank").select("token").collect()]
 
 
-def train(corpus: DataFrame, **settings) -> PipelineModel:
-    return classifier(**settings).fit(corpus)
+def train(corpus: DataFrame, text: str = "text", label: str = "labels", vocabulary: int = MAX_TOKENS,
+          min_count: int = MIN_COUNT, iterations: int = 20, l2: float = 0.01) -> PipelineModel:
+    """Two-class text classifier over weighted token counts."""
+    terms = _vocabulary(corpus, text, vocabulary, min_count)
+    stages = [
+        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+"),
+        CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="_counts"),
+        IDF(inputCol="_counts", outputCol="_features"),
+        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=l2),
+    ]
+    return Pipeline(stages=stages).fit(corpus)
 
 
 def probabilities(model: PipelineModel, posts: DataFrame) -> DataFrame:
@@ -75,9 +80,8 @@ def learning_curve(training: DataFrame, validation: DataFrame, row_id: str, size
 def bag_of_words(posts: DataFrame, text: str = "body", vocabulary: int = TOPIC_VOCABULARY):
     """(model, vectors): presence of the most frequent lower-cased tokens per post."""
     tokens = Tokenizer(inputCol=text, outputCol="_tokens").transform(posts)
-    model = CountVectorizer(
-        inputCol="_tokens", outputCol="features", vocabSize=vocabulary, minTF=0.0, minDF=0.0, binary=True
-    ).fit(tokens)
+    terms = _vocabulary(posts, text, vocabulary, 0)
+    model = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="features", binary=True, minTF=0.0)
     return model, model.transform(tokens).drop("_tokens", text)
 
 

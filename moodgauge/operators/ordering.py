@@ -14,9 +14,14 @@ def _before(window_cols, order):
     return Window.partitionBy(*window_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def whole(value: Column, by) -> Column:
+    """Integer division; ids beyond 2^53 must not pass through a double."""
+    return F.call_function("div", value, by if isinstance(by, Column) else F.lit(by))
+
+
 def block_width(df: DataFrame, order: str, least: int = 1024, most_blocks: int = 1 << 20) -> Column:
     """Width that cuts the span of `order` into at most `most_blocks` blocks."""
-    span = df.agg(F.ceil((F.max(order) - F.min(order) + 1) / most_blocks).alias("w")).scalar()
+    span = df.agg((whole(F.max(order), most_blocks) - whole(F.min(order), most_blocks) + 1).alias("w")).scalar()
     return F.greatest(F.lit(least).cast("bigint"), F.coalesce(span, F.lit(0)).cast("bigint"))
 
 
@@ -29,10 +34,10 @@ def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), wid
     by = list(by)
     width = F.lit(width) if isinstance(width, int) else width
     width = block_width(df, order) if width is None else width
-    rows = df.withColumn("_block", F.floor(F.col(order) / width).cast("bigint"))
+    rows = df.withColumn("_block", whole(F.col(order), width))
 
     blocks = rows.groupBy(*by, "_block").agg(*[F.sum(v).alias(f"_b_{v}") for v in totals])
-    blocks = blocks.withColumn("_group", F.floor(F.col("_block") / BLOCKS_PER_GROUP).cast("bigint"))
+    blocks = blocks.withColumn("_group", whole(F.col("_block"), BLOCKS_PER_GROUP))
     groups = blocks.groupBy(*by, "_group").agg(*[F.sum(f"_b_{v}").alias(f"_g_{v}") for v in totals])
 
     def shift(prefix, value, window):

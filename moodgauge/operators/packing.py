@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodgauge.operators.ordering import number_rows, running_totals
+from moodgauge.operators.ordering import number_rows, running_totals, whole
 from moodgauge.operators.vocabulary import PAD_ID
 
 # Tokens per block and parallel lanes of the language-model loader.
@@ -26,22 +26,22 @@ def pack(docs: DataFrame, key: str, ids: str = "ids", block: int = BLOCK, lanes:
     starts = running_totals(sized.select(key, "_size"), key, {"_size": "_start"})
     # position -> (lane, block): lanes of equal length, blocks counted inside each
     total = sized.agg(F.sum("_size").alias("n")).scalar()
-    lane_len = F.floor(total / lanes).cast("bigint")
+    lane_len = whole(total, lanes)
     placed = sized.join(starts.select(key, "_start"), key).withColumn("_lane_len", lane_len)
-    placed = placed.withColumn("_per_lane", F.ceil(F.col("_lane_len") / block).cast("bigint"))
+    placed = placed.withColumn("_per_lane", whole(F.col("_lane_len") + block - 1, block))
     end = F.col("_start") + F.col("_size")
     placed = placed.withColumn("_end", F.least(end, F.col("_lane_len") * lanes)).filter("_start < _end")
 
     def slot(position: Column) -> Column:
-        lane = F.floor(position / F.col("_lane_len"))
+        lane = whole(position, F.col("_lane_len"))
         inside = position - lane * F.col("_lane_len")
-        return (lane * F.col("_per_lane") + F.floor(inside / block)).cast("bigint")
+        return lane * F.col("_per_lane") + whole(inside, block)
 
     pieces = placed.select(
         ids, "_start", "_end", "_lane_len", "_per_lane",
         F.explode_outer(F.sequence(slot(F.col("_start")), slot(F.col("_end") - 1))).alias("_slot"),
     )
-    lane = F.floor(F.col("_slot") / F.col("_per_lane")).cast("bigint")
+    lane = whole(F.col("_slot"), F.col("_per_lane"))
     number = F.col("_slot") - lane * F.col("_per_lane")
     slot_start = lane * F.col("_lane_len") + number * block
     slot_end = F.least(slot_start + block, (lane + 1) * F.col("_lane_len"))
@@ -61,7 +61,7 @@ def pack(docs: DataFrame, key: str, ids: str = "ids", block: int = BLOCK, lanes:
 
 
 def length_bucket(ids: Column, width: int = 50) -> Column:
-    return F.floor(F.size(ids) / width).cast("bigint")
+    return whole(F.size(ids), width)
 
 
 def length_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int = 48) -> DataFrame:
@@ -71,7 +71,7 @@ def length_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int
     """
     sized = docs.select(key, F.size(ids).alias("_size"))
     ranked = number_rows(sized, key, "_rank", lead="_size")
-    batch = F.floor(F.col("_rank") / batch_size).cast("bigint")
+    batch = whole(F.col("_rank"), batch_size)
     return docs.join(ranked.select(key, batch.alias("batch")), key)
 
 

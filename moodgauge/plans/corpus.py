@@ -147,8 +147,11 @@ def lane_blocks(spark, sf_dir):
 
 
 def _lengths(spark, sf_dir):
-    """Token-length lists: one id per token, so that only lengths matter."""
-    return t.documents(spark, sf_dir).select("doc_id", F.transform("tokens", F.length).alias("ids"))
+    """Token-length lists as a written table: one id per token, so that only lengths matter."""
+    path = scratch_path(spark, "lengths")
+    lists = t.documents(spark, sf_dir).select("doc_id", F.transform("tokens", F.length).alias("ids"))
+    lists.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 _LENGTHS = t.TOKENS + ", lens AS (SELECT doc_id, len(tokens) AS n, list_transform(tokens, lambda x: length(x)) AS ids FROM docs)"
@@ -354,7 +357,7 @@ def learning_curve(spark, sf_dir):
 
 @query("topics")
 def topics(spark, sf_dir):
-    return models.topics(t.texts(spark, sf_dir).select(F.col("text").alias("body")), k=20)
+    return models.topics(t.texts(spark, sf_dir).select(F.col("text").alias("body")))
 
 
 @query("score_events")

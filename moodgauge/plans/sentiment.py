@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from moodgauge.functions.moments import HOUR_MS
 from moodgauge.operators import impact, indices
-from moodgauge.operators.ordering import last_per_key
+from moodgauge.operators.ordering import last_per_key, whole
 from moodgauge.plans import tables as t
 from moodgauge.plans.registry import query
 
@@ -174,7 +174,7 @@ WHERE rn = 1 OR interaction_total IS DISTINCT FROM pi OR likes_total IS DISTINCT
 )
 def changed_versions(spark, sf_dir):
     versions = t.post_events(spark, sf_dir).select("event_id", "post_type", "message_id", *_VALUES, "ms")
-    hour = F.floor(F.col("ms") / HOUR_MS)
+    hour = whole(F.col("ms"), HOUR_MS)
     return impact.changed_versions(versions, ["ms", "event_id"], _VALUES, hour)
 
 

@@ -37,7 +37,10 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_labelled_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headerless (labels, text) with quotes doubled inside text."""
-    df.select("labels", "text").write.mode(mode).csv(path, header=False, quote='"', escape='"', quoteAll=True)
+    rows = df.select("labels", "text").write.mode(mode)
+    # spaces around a text are part of it
+    rows = rows.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    rows.csv(path, header=False, quote='"', escape='"', quoteAll=True)
 
 
 def write_encoded(encoded: DataFrame, vocabulary: DataFrame, path: str, mode: str = "overwrite") -> None:

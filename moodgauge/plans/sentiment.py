@@ -28,6 +28,19 @@ def _index(df):
     )
 
 
+def _mean3(total: str, n: str, times: int = 1, over: int = 1) -> str:
+    """SQL for total * times / (over * n), an exact mean in thousandths, rounded half up."""
+    return f"sign({total}) * ((2 * abs({total}) * {times} + {over} * {n}) // (2 * {over} * {n})) / 1000.0"
+
+
+def _thousandths(column: str) -> str:
+    return f"CAST(round({column} * 1000) AS BIGINT)"
+
+
+# 50 * mean(0.5 + x) in thousandths
+_COMBINED = _mean3(f"sum(500 + {_thousandths('sentiment_absolute')})", "count(*)", 50)
+
+
 @query(
     "relevant_posts_impact",
     f"""WITH {t.POST_EVENTS}, {_STORED}
@@ -41,9 +54,9 @@ def relevant_posts_impact(spark, sf_dir):
     return impact.with_impact(found).withColumn("impact", F.col("impact").cast("double"))
 
 
-_PLATFORM_ROWS = """
+_PLATFORM_ROWS = f"""
 platform AS (SELECT k.kind AS sentiment_type,
-    avg(CAST(impact * (sentiment_mixed - 0.5) AS DOUBLE)) AS mean
+    {_mean3("sum(CAST(impact * (sentiment_mixed - 0.5) * 10000 AS BIGINT))", "count(impact)", 1, 10)} AS mean
   FROM (VALUES ('stocktwits'), ('twitter')) k(kind) LEFT JOIN
     (SELECT *, CASE WHEN post_type = 'stocktwit' THEN 'stocktwits' ELSE 'twitter' END AS kind
      FROM posts, clock WHERE created_at_epoch_ms >= now_ms - 43200000) r USING (kind)
@@ -54,7 +67,7 @@ platform AS (SELECT k.kind AS sentiment_type,
     "platform_sentiment_12h",
     f"""WITH {t.POSTS}, {_PLATFORM_ROWS}
 SELECT sentiment_type, CAST(43200 AS BIGINT) AS sentiment_seconds_back, now_ms AS created_at_epoch_ms,
-       CAST(CAST(mean AS DECIMAL(10,3)) AS DOUBLE) AS sentiment_absolute FROM platform, clock""",
+       mean AS sentiment_absolute FROM platform, clock""",
 )
 def platform_sentiment(spark, sf_dir):
     return _index(indices.platform_sentiment(t.posts(spark, sf_dir), t.now(spark, sf_dir)))
@@ -64,7 +77,7 @@ def platform_sentiment(spark, sf_dir):
     "combined_index",
     f"""WITH {t.POST_EVENTS}, {t.PUBLISHED}
 SELECT 'social_combined' AS sentiment_type, sentiment_seconds_back, any_value(now_ms) AS created_at_epoch_ms,
-       CAST(CAST(50 * avg(CAST(0.5 + sentiment_absolute AS DOUBLE)) AS DECIMAL(10,3)) AS DOUBLE) AS sentiment_absolute
+       {_COMBINED} AS sentiment_absolute
 FROM published, clock
 WHERE sentiment_type IN ('stocktwits', 'twitter') AND created_at_epoch_ms >= now_ms - sentiment_seconds_back * 1000
 GROUP BY sentiment_seconds_back""",
@@ -77,7 +90,7 @@ def _feed_sql(name, event_type):
     # both feeds come out on the same scale, so the union only has to be distinct
     return f"""SELECT '{name}' AS sentiment_type, CAST(43200 AS BIGINT) AS sentiment_seconds_back,
        any_value(c.now_ms) AS created_at_epoch_ms,
-       CAST(CAST(avg(score) AS DECIMAL(10,3)) AS DOUBLE) AS sentiment_absolute
+       {_mean3('sum(CAST(score * 1000 AS BIGINT))', 'count(score)')} AS sentiment_absolute
 FROM clock c LEFT JOIN (SELECT DISTINCT received, score FROM feeds, clock
   WHERE event_type = '{event_type}' AND received >= now_ms - 43200000) ON true"""
 
@@ -94,14 +107,15 @@ def news_ensemble(spark, sf_dir):
     return _index(indices.news_ensemble(feeds["news_score"], feeds["buzz"], t.now(spark, sf_dir)))
 
 
+_EXTERNAL_MEAN = _mean3(f"sum({_thousandths('sentiment_absolute')})", "count(*)")
 _EXTERNAL = """SELECT 'global_external_ensemble' AS sentiment_type, CAST(43200 AS BIGINT) AS sentiment_seconds_back,
        any_value(now_ms) AS created_at_epoch_ms,
-       CAST(CAST(avg(CAST(sentiment_absolute AS DOUBLE)) AS DECIMAL(10,3)) AS DOUBLE) AS sentiment_absolute
+       {mean} AS sentiment_absolute
 FROM {rows}, clock WHERE created_at_epoch_ms >= now_ms - 43200000
   AND sentiment_type IN ('news_external_ensemble', 'social_external_ensemble')"""
 
 
-@query("external_ensemble", f"WITH {t.POST_EVENTS}, {t.PUBLISHED} {_EXTERNAL.format(rows='published')}")
+@query("external_ensemble", f"WITH {t.POST_EVENTS}, {t.PUBLISHED} {_EXTERNAL.format(rows='published', mean=_EXTERNAL_MEAN)}")
 def external_ensemble(spark, sf_dir):
     return _index(indices.external_ensemble(t.published(spark, sf_dir), t.now(spark, sf_dir)))
 
@@ -110,7 +124,7 @@ def external_ensemble(spark, sf_dir):
     "publish_indices",
     f"""WITH {t.POSTS}, {t.PUBLISHED}, {t.FEEDS}, {_PLATFORM_ROWS},
 rows1 AS (SELECT sentiment_type, CAST(43200 AS BIGINT) AS sentiment_seconds_back, now_ms AS created_at_epoch_ms,
-            CAST(mean AS DECIMAL(10,3)) AS sentiment_absolute FROM platform, clock),
+            mean AS sentiment_absolute FROM platform, clock),
 social AS ({_feed_sql('social_external_ensemble', 'signup')}),
 news AS ({_feed_sql('news_external_ensemble', 'error')}),
 seen1 AS (SELECT * FROM published UNION ALL SELECT * FROM rows1),
@@ -120,11 +134,11 @@ seen2 AS (SELECT sentiment_type, sentiment_seconds_back, created_at_epoch_ms,
 SELECT sentiment_type, sentiment_seconds_back, created_at_epoch_ms, CAST(sentiment_absolute AS DOUBLE) AS sentiment_absolute
 FROM rows1
 UNION ALL SELECT 'social_combined', sentiment_seconds_back, any_value(now_ms),
-  CAST(CAST(50 * avg(CAST(0.5 + sentiment_absolute AS DOUBLE)) AS DECIMAL(10,3)) AS DOUBLE)
+  {_COMBINED}
   FROM seen1, clock WHERE sentiment_type IN ('stocktwits', 'twitter')
     AND created_at_epoch_ms >= now_ms - sentiment_seconds_back * 1000 GROUP BY sentiment_seconds_back
 UNION ALL SELECT * FROM social UNION ALL SELECT * FROM news
-UNION ALL {_EXTERNAL.format(rows='seen2')}""",
+UNION ALL {_EXTERNAL.format(rows='seen2', mean=_EXTERNAL_MEAN)}""",
 )
 def publish_indices(spark, sf_dir):
     rows = indices.publish_all(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from moodgauge.plans import tables as t
 from moodgauge.plans.events import _WANTED, _WORDS, score_by_id
 from moodgauge.plans.registry import query
+from moodgauge.plans.sentiment import _mean3, _thousandths
 from moodgauge.schemas import INDEX_VALUE
 from moodgauge.session import scratch_path
 from moodgauge.sources import readers, writers
@@ -142,12 +143,13 @@ def stream_ingest(spark, sf_dir):
 @query(
     "stream_indices",
     f"""WITH {t.TURNS}, {_WANTED}, {_STORE},
-platform AS (SELECT k.kind AS sentiment_type, CAST(avg(CAST(impact * (sentiment_mixed - 0.5) AS DOUBLE)) AS DECIMAL(10,3)) AS mean
+platform AS (SELECT k.kind AS sentiment_type,
+    {_mean3("sum(CAST(impact * (sentiment_mixed - 0.5) * 10000 AS BIGINT))", "count(impact)", 1, 10)} AS mean
   FROM (VALUES ('stocktwits'), ('twitter')) k(kind) LEFT JOIN
     (SELECT *, CASE WHEN post_type = 'stocktwit' THEN 'stocktwits' ELSE 'twitter' END AS kind
      FROM store, horizon WHERE created_at_epoch_ms >= now_ms - 43200000) r USING (kind) GROUP BY k.kind),
 both_rows AS (SELECT * FROM platform
-  UNION ALL SELECT 'social_combined', CAST(50 * avg(CAST(0.5 + mean AS DOUBLE)) AS DECIMAL(10,3)) FROM platform)
+  UNION ALL SELECT 'social_combined', {_mean3(f"sum(500 + {_thousandths('mean')})", "count(mean)", 50)} FROM platform)
 SELECT sentiment_type, CAST(43200 AS BIGINT) AS sentiment_seconds_back, now_ms AS created_at_epoch_ms,
        CAST(mean AS DOUBLE) AS sentiment_absolute FROM both_rows, horizon""",
 )

@@ -19,25 +19,48 @@ def whole(value: Column, by) -> Column:
     return F.call_function("div", value, by if isinstance(by, Column) else F.lit(by))
 
 
-def block_width(df: DataFrame, order: str, least: int = 1024, most_blocks: int = 1 << 20) -> Column:
-    """Width that cuts the span of `order` into at most `most_blocks` blocks."""
-    span = df.agg((whole(F.max(order), most_blocks) - whole(F.min(order), most_blocks) + 1).alias("w")).scalar()
-    return F.greatest(F.lit(least).cast("bigint"), F.coalesce(span, F.lit(0)).cast("bigint"))
+def _fixed_blocks(rows: DataFrame, order: str, width: int) -> DataFrame:
+    """Blocks of equal width; for orders of known density, like pre-aggregated milliseconds."""
+    rows = rows.withColumn("_block", whole(F.col(order), width))
+    return rows.withColumn("_group", whole(F.col("_block"), BLOCKS_PER_GROUP))
 
 
-def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), width=None) -> DataFrame:
+def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
+    """Groups between quantiles of `order`, each cut into blocks of equal width.
+
+    Ids of different origin can lie in a few dense spots of a huge range. The quantiles bound a group
+    to about a thousandth of the rows wherever they lie; the blocks inside are usually far smaller.
+    """
+    side = 32
+    shares = [n / (side * side - 1) for n in range(side * side)]
+    found = rows.agg(F.percentile_approx(F.col(order).cast("bigint"), shares, 20_000).alias("all"))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda n: F.get("all", n * side))
+    bounds = found.select(F.struct(F.col("all"), steps.alias("steps")).alias("b")).scalar()
+    value = F.col(order).cast("bigint")
+
+    def smaller(array):
+        """How many bounds are smaller; sorting a short array beats a lambda per bound."""
+        return (F.array_position(F.sort_array(F.array_append(array, value)), value) - 1).cast("int")
+
+    # two short searches instead of one long one
+    rows = rows.withColumn("_step", F.greatest(smaller(bounds["steps"]) - 1, F.lit(0)) * side)
+    rows = rows.withColumn("_group", F.col("_step") + smaller(F.slice(bounds["all"], F.col("_step") + 1, side)))
+    high = F.get(bounds["all"], F.col("_group"))
+    low = F.coalesce(F.get(bounds["all"], F.col("_group") - 1), high)
+    width = F.coalesce(whole(high - low, BLOCKS_PER_GROUP) + 1, F.lit(1 << 62))
+    return rows.withColumn("_block", whole(value - low, F.greatest(F.lit(1024), width))).drop("_step")
+
+
+def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), width: int | None = None) -> DataFrame:
     """Add exclusive running totals in the order of the integer column `order`, within `by`.
 
-    `totals` maps value column to result column. `order` must be unique within `by`. `width` is the
-    span of `order` one block covers.
+    `totals` maps value column to result column. `order` must be unique within `by`. Blocks follow the
+    quantiles of `order`, or have a fixed `width` where its density is known.
     """
     by = list(by)
-    width = F.lit(width) if isinstance(width, int) else width
-    width = block_width(df, order) if width is None else width
-    rows = df.withColumn("_block", whole(F.col(order), width))
+    rows = _fixed_blocks(df, order, width) if width else _quantile_blocks(df, order)
 
-    blocks = rows.groupBy(*by, "_block").agg(*[F.sum(v).alias(f"_b_{v}") for v in totals])
-    blocks = blocks.withColumn("_group", whole(F.col("_block"), BLOCKS_PER_GROUP))
+    blocks = rows.groupBy(*by, "_group", "_block").agg(*[F.sum(v).alias(f"_b_{v}") for v in totals])
     groups = blocks.groupBy(*by, "_group").agg(*[F.sum(f"_b_{v}").alias(f"_g_{v}") for v in totals])
 
     def shift(prefix, value, window):
@@ -47,12 +70,13 @@ def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), wid
     groups = groups.select(*by, "_group", *[shift("_g_", v, over_groups).alias(f"_go_{v}") for v in totals])
     blocks = blocks.join(groups, [*by, "_group"]).select(
         *by,
+        "_group",
         "_block",
         *[(F.col(f"_go_{v}") + shift("_b_", v, over_blocks)).alias(f"_bo_{v}") for v in totals],
     )
-    over_rows = _before([*by, "_block"], order)
-    done = rows.join(blocks, [*by, "_block"])
-    return done.select(
+    place = [*by, "_group", "_block"]
+    over_rows = _before(place, order)
+    return rows.join(blocks, place).select(
         *df.columns,
         *[(F.col(f"_bo_{v}") + shift("", v, over_rows)).alias(name) for v, name in totals.items()],
     )
@@ -67,7 +91,7 @@ def number_rows(df: DataFrame, order: str, name: str, lead: str | None = None) -
     # one row per distinct value of `lead`
     over = Window.orderBy(F.desc(lead)).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(lead, F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_start"))
-    within = running_totals(counted, order, {"_one": "_within"}, by=[lead], width=block_width(df, order))
+    within = running_totals(counted, order, {"_one": "_within"}, by=[lead])
     return within.join(starts, lead).select(*df.columns, (F.col("_start") + F.col("_within")).alias(name))
 
 
@@ -116,6 +140,11 @@ def shuffle_key(row_id: Column, seed: int = 0) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), row_id.cast("string")))
 
 
+def shuffle_number(row_id: Column, seed: int = 0) -> Column:
+    """The first 60 bits of `shuffle_key` as a number, in the same order."""
+    return F.conv(F.substring(shuffle_key(row_id, seed), 1, 15), 16, 10).cast("bigint")
+
+
 def cutoff(keys: DataFrame, rank, key: str = "key") -> Column:
     """Scalar subquery: the `rank`-th smallest hexadecimal key, null when rank is 0.
 

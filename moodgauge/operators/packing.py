@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodgauge.operators.ordering import number_rows, running_totals, whole
+from moodgauge.operators.ordering import number_rows, running_totals, shuffle_number, whole
 from moodgauge.operators.vocabulary import PAD_ID
 
 # Tokens per block and parallel lanes of the language-model loader.
@@ -71,20 +71,34 @@ def length_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int
     """
     sized = docs.select(key, F.size(ids).alias("_size"))
     ranked = number_rows(sized, key, "_rank", lead="_size")
-    batch = whole(F.col("_rank"), batch_size)
-    return docs.join(ranked.select(key, batch.alias("batch")), key)
+    return docs.join(ranked.select(key, whole(F.col("_rank"), batch_size).alias("batch")), key)
 
 
-def pad(docs: DataFrame, group: str, ids: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
-    """Fill the id lists of every group up to its longest one."""
-    longest = docs.groupBy(group).agg(F.max(F.size(ids)).alias("_longest"))
-    filled = F.concat(ids, F.array_repeat(F.lit(pad_id), F.col("_longest") - F.size(ids)))
-    return docs.join(longest, group).withColumn(ids, filled).drop("_longest")
+def sortish_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int = 24, chunk: int = 50,
+                    seed: int = 0) -> DataFrame:
+    """Random chunks of `chunk` batches, longest documents first inside each, so that batches of one
+    length follow no global order. No chunk holds more than `chunk * batch_size` documents.
+    """
+    sized = docs.select(key, F.size(ids).alias("_size"), shuffle_number(F.col(key), seed).alias("_place"))
+    ranked = number_rows(sized, "_place", "_rank").withColumn("_chunk", whole(F.col("_rank"), chunk * batch_size))
+    inside = F.row_number().over(Window.partitionBy("_chunk").orderBy(F.desc("_size"), key)) - 1
+    batch = F.col("_chunk") * chunk + whole(inside, batch_size)
+    return docs.join(ranked.select(key, batch.cast("bigint").alias("batch")), key)
+
+
+def _fill(ids: str, longest: Column, pad_id: int) -> Column:
+    return F.concat(ids, F.array_repeat(F.lit(pad_id), longest - F.size(ids)))
+
+
+def pad_buckets(docs: DataFrame, width: int = 50, ids: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
+    """Add the length bucket and fill the lists of each up to its longest one."""
+    docs = docs.withColumn("bucket", length_bucket(F.col(ids), width))
+    # one small row per bucket: at most the longest list divided by the width
+    longest = F.broadcast(docs.groupBy("bucket").agg(F.max(F.size(ids)).alias("_longest")))
+    return docs.join(longest, "bucket").withColumn(ids, _fill(ids, F.col("_longest"), pad_id)).drop("_longest")
 
 
 def pad_batches(docs: DataFrame, ids: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
-    """`pad` for the bounded batches of `length_batches`: one shuffle, no join."""
+    """Fill the lists of each `batch`, which holds a bounded number of documents, up to its longest."""
     longest = F.max(F.size(ids)).over(Window.partitionBy("batch"))
-    return docs.withColumn("_longest", longest).withColumn(
-        ids, F.concat(ids, F.array_repeat(F.lit(pad_id), F.col("_longest") - F.size(ids)))
-    ).drop("_longest")
+    return docs.withColumn("_longest", longest).withColumn(ids, _fill(ids, F.col("_longest"), pad_id)).drop("_longest")

@@ -163,8 +163,7 @@ _LENGTHS = t.TOKENS + ", lens AS (SELECT doc_id, len(tokens) AS n, list_transfor
 SELECT doc_id, bucket, trim(array_to_string(ids, ' ') || repeat(' 1', widest - n)) AS ids FROM b""",
 )
 def length_buckets(spark, sf_dir):
-    docs = _lengths(spark, sf_dir).withColumn("bucket", packing.length_bucket(F.col("ids")))
-    return _as_text(packing.pad(docs, "bucket"))
+    return _as_text(packing.pad_buckets(_lengths(spark, sf_dir)))
 
 
 _BATCHES = "batches AS (SELECT *, (row_number() OVER (ORDER BY n DESC, doc_id) - 1) // 48 AS batch FROM lens)"
@@ -176,6 +175,16 @@ def length_batches(spark, sf_dir):
     return batches.select("doc_id", "batch", F.size("ids").cast("bigint").alias("n"))
 
 
+@query(
+    "sortish_batches",
+    f"""WITH {_LENGTHS}, r AS (SELECT *, (row_number() OVER (ORDER BY md5('0:' || doc_id)) - 1) // 1200 AS chunk FROM lens)
+SELECT doc_id, n, chunk * 50 + (row_number() OVER (PARTITION BY chunk ORDER BY n DESC, doc_id) - 1) // 24 AS batch FROM r""",
+)
+def sortish_batches(spark, sf_dir):
+    batches = packing.sortish_batches(_lengths(spark, sf_dir), "doc_id")
+    return batches.select("doc_id", F.size("ids").cast("bigint").alias("n"), "batch")
+
+
 @query(
     "pad_batch",
     f"""WITH {_LENGTHS}, {_BATCHES}

@@ -85,6 +85,10 @@ class PostStore:
         keys = ["post_type", "message_id"]
         return last_per_key(rows.drop("event_date"), keys, ["batch_id"]).drop("batch_id")
 
+    def impacts_of(self, batch_id: int) -> DataFrame:
+        """What one batch changed."""
+        return self._read("impacts", IMPACTS).filter(F.col("batch_id") == batch_id)
+
     # -- indices
 
     def append_indices(self, rows: DataFrame, batch_id: int) -> None:

@@ -57,6 +57,10 @@ def with_counters(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"), F.count("id").alias("keyed"))
 
 
+#: Indices are published again after this time, even if no impact changed.
+RECOMPUTE_MS = 30_000
+
+
 class Ingest:
     """One micro-batch from raw events to published indices.
 
@@ -66,9 +70,10 @@ class Ingest:
     the same folders again and reads only earlier batches, so its result is the same.
     """
 
-    def __init__(self, store: PostStore, score, engagement, feeds, now=None, keywords=filters.KEYWORDS):
+    def __init__(self, store: PostStore, score, engagement, feeds, now=None, keywords=filters.KEYWORDS,
+                 recompute_ms: int = RECOMPUTE_MS):
         self.store, self.score, self.engagement, self.feeds = store, score, engagement, feeds
-        self.now, self.keywords = now, keywords
+        self.now, self.keywords, self.recompute_ms = now, keywords, recompute_ms
 
     def _now_ms(self) -> int:
         if self.now is not None:
@@ -90,14 +95,24 @@ class Ingest:
         rows = posts.flatten(self.score(requests))
         return rows.filter(posts.storable(rows))
 
+    def _due(self, batch_id: int, now: int) -> bool:
+        """Whether the last earlier batch that published did so long enough ago."""
+        last = self.store.indices(now - self.recompute_ms, batch_id).agg(F.max("created_at_epoch_ms")).first()[0]
+        return last is None or now - last > self.recompute_ms
+
     def refresh(self, batch_id: int, now: int) -> None:
-        """Impact of changed posts, then all indices of one moment."""
+        """Impact of changed posts, then all indices of one moment.
+
+        Indices are published when an impact changed or when they are older than `recompute_ms`.
+        """
         start = now - LOOK_BACK_SECONDS * 1000
         recent = self.store.posts(start, batch_id + 1)
         relevant = impact.with_impact(impact.relevant_engagement(self.engagement(start), recent, now))
         changed = impact.changed(relevant, self.store.impacts(start, batch_id))
         stamps = recent.select("post_type", F.col("post_id").alias("message_id"), "created_at_epoch_ms")
         self.store.append_impacts(changed.join(stamps, impact.KEY), batch_id)
+        if self.store.impacts_of(batch_id).isEmpty() and not self._due(batch_id, now):
+            return
         # a moment published before is replaced, not averaged in
         published = self.store.indices(start, batch_id).filter(F.col("created_at_epoch_ms") < now)
         rows = indices.publish_all(self.store.posts(start, batch_id + 1), published, self.feeds(start), now)

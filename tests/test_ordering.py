@@ -158,10 +158,36 @@ def test_length_batches_and_padding(spark):
     got = {r.doc: r.batch for r in batches.collect()}
     order = sorted(lengths, key=lambda k: (-lengths[k], k))
     assert got == {k: n // 10 for n, k in enumerate(order)}
-    for padded in (packing.pad_batches(batches), packing.pad(batches, "batch")):
-        for r in padded.collect():
-            widest = max(lengths[k] for k in lengths if got[k] == r.batch)
-            assert len(r.ids) == widest and set(r.ids[lengths[r.doc]:]) <= {1}
+    for r in packing.pad_batches(batches).collect():
+        widest = max(lengths[k] for k in lengths if got[k] == r.batch)
+        assert len(r.ids) == widest and set(r.ids[lengths[r.doc]:]) <= {1}
+    for r in packing.pad_buckets(docs, 3).collect():
+        assert r.bucket == lengths[r.doc] // 3
+        assert len(r.ids) == max(n for n in lengths.values() if n // 3 == r.bucket)
+
+
+def test_sortish_batches(spark):
+    rng = random.Random(4)
+    lengths = {k: rng.choice([1, 4, 4, 4, 9]) for k in range(205)}
+    _, docs = docs_of(spark, lengths)
+    got = {r.doc: r.batch for r in packing.sortish_batches(docs, "doc", "ids", 4, 5).collect()}
+    sizes = [list(got.values()).count(b) for b in sorted(set(got.values()))]
+    assert sizes[:-2] == [4] * (len(sizes) - 2) and sum(sizes) == 205
+    for chunk in range(11):
+        inside = sorted((b, lengths[k]) for k, b in got.items() if b // 5 == chunk)
+        for (b1, _), (b2, _) in zip(inside, inside[1:]):
+            if b1 < b2:
+                assert min(n for b, n in inside if b == b1) >= max(n for b, n in inside if b == b2)
+
+
+def test_blocks_of_clustered_ids_stay_small(spark):
+    """Two id spaces, ten orders of magnitude apart, each dense."""
+    ids = list(range(130_000_000, 130_020_000)) + list(range(10**18, 10**18 + 20_000))
+    frame = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    blocks = ordering._quantile_blocks(frame, "id").groupBy("_group", "_block").count()
+    assert blocks.agg(F.max("count")).first()[0] <= len(ids) // 100
+    got = {r.id: r.n for r in ordering.number_rows(frame, "id", "n").collect()}
+    assert got == {i: n for n, i in enumerate(ids)}
 
 
 def test_vocabulary_and_encoding(spark):

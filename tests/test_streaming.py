@@ -112,6 +112,16 @@ def test_only_changed_impacts_are_written(spark, tmp_path, rows):
     assert combined == [Decimal("45.000"), Decimal("75.000")]
 
 
+def test_indices_wait_while_nothing_changes(spark, tmp_path):
+    store = PostStore(spark, str(tmp_path / "store"))
+    first = readers.read_events(spark, write_lines(tmp_path / "a", [tweet(1, "twitter-user", "tesla", at(NOW))]))
+    nothing = first.limit(0)
+    for batch, (events, now) in enumerate([(first, NOW), (nothing, NOW + 30_000), (nothing, NOW + 30_001)]):
+        ingest_of(spark, store, now=now)(events, batch)
+    moments = {r[0] for r in store.indices().select("created_at_epoch_ms").collect()}
+    assert moments == {NOW, NOW + 30_001}
+
+
 def test_an_upsert_replaces_and_keeps_impact(spark, tmp_path, rows):
     store = PostStore(spark, str(tmp_path / "store"))
     shape = "post_type string, post_id bigint, body string, created_at_epoch_ms bigint"

@@ -4,9 +4,11 @@ All of them aggregate before they order: a window only ever sees one small block
 totals of the blocks are ordered in two further, much smaller levels.
 """
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUPS = 1024
 BLOCKS_PER_GROUP = 1024
 
 
@@ -30,25 +32,22 @@ def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
 
     Ids of different origin can lie in a few dense spots of a huge range. The quantiles bound a group
     to about a thousandth of the rows wherever they lie; the blocks inside are usually far smaller.
+    The quantiles are found by one job over the order column alone; they are at most `GROUPS` numbers.
+    As doubles they may be a little off for ids beyond 2^53, which moves a border but no order.
     """
-    side = 32
-    shares = [n / (side * side - 1) for n in range(side * side)]
-    found = rows.agg(F.percentile_approx(F.col(order).cast("bigint"), shares, 20_000).alias("all"))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda n: F.get("all", n * side))
-    bounds = found.select(F.struct(F.col("all"), steps.alias("steps")).alias("b")).scalar()
-    value = F.col(order).cast("bigint")
-
-    def smaller(array):
-        """How many bounds are smaller; sorting a short array beats a lambda per bound."""
-        return (F.array_position(F.sort_array(F.array_append(array, value)), value) - 1).cast("int")
-
-    # two short searches instead of one long one
-    rows = rows.withColumn("_step", F.greatest(smaller(bounds["steps"]) - 1, F.lit(0)) * side)
-    rows = rows.withColumn("_group", F.col("_step") + smaller(F.slice(bounds["all"], F.col("_step") + 1, side)))
-    high = F.get(bounds["all"], F.col("_group"))
-    low = F.coalesce(F.get(bounds["all"], F.col("_group") - 1), high)
-    width = F.coalesce(whole(high - low, BLOCKS_PER_GROUP) + 1, F.lit(1 << 62))
-    return rows.withColumn("_block", whole(value - low, F.greatest(F.lit(1024), width))).drop("_step")
+    shares = [n / GROUPS for n in range(GROUPS + 1)]
+    value = F.col(order).cast("double")
+    found = rows.agg(F.percentile_approx(value, shares, 4 * GROUPS)).first()[0] or []
+    bounds = sorted(set(found))
+    splits = [-float("inf"), *bounds, float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol="_place", handleInvalid="keep")
+    rows = bucketizer.transform(rows.withColumn("_value", value))
+    rows = rows.withColumn("_group", F.col("_place").cast("int"))
+    # by group: where it begins, and the width that cuts it into at most BLOCKS_PER_GROUP blocks
+    begins = [int(b) for b in [*bounds[:1], *bounds]] or [0]
+    widths = [max(1024, (high - low) // BLOCKS_PER_GROUP + 1) for low, high in zip(begins, [*begins[1:], begins[-1]])]
+    low, width = F.get(F.lit(begins), F.col("_group")), F.get(F.lit(widths), F.col("_group"))
+    return rows.withColumn("_block", whole(F.col(order) - low, width)).drop("_value", "_place")
 
 
 def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), width: int | None = None) -> DataFrame:

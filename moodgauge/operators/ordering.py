@@ -27,6 +27,11 @@ def _fixed_blocks(rows: DataFrame, order: str, width: int) -> DataFrame:
     return rows.withColumn("_group", whole(F.col("_block"), BLOCKS_PER_GROUP))
 
 
+def _numbers(values, kind: str) -> Column:
+    """A constant array from one string, which the planner folds; a literal each is slow to build."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
     """Groups between quantiles of `order`, each cut into blocks of equal width.
 
@@ -35,19 +40,23 @@ def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
     The quantiles are found by one job over the order column alone; they are at most `GROUPS` numbers.
     As doubles they may be a little off for ids beyond 2^53, which moves a border but no order.
     """
-    shares = [n / GROUPS for n in range(GROUPS + 1)]
     value = F.col(order).cast("double")
+    shares = _numbers([n / GROUPS for n in range(GROUPS + 1)], "double")
     found = rows.agg(F.percentile_approx(value, shares, 4 * GROUPS)).first()[0] or []
     bounds = sorted(set(found))
     splits = [-float("inf"), *bounds, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_value", outputCol="_place", handleInvalid="keep")
-    rows = bucketizer.transform(rows.withColumn("_value", value))
-    rows = rows.withColumn("_group", F.col("_place").cast("int"))
+    bucketizer = Bucketizer(splits=splits, inputCol="_order_value", outputCol="_order_bucket", handleInvalid="keep")
+    rows = bucketizer.transform(rows.withColumn("_order_value", value))
+    rows = rows.withColumn("_group", F.col("_order_bucket").cast("int"))
     # by group: where it begins, and the width that cuts it into at most BLOCKS_PER_GROUP blocks
     begins = [int(b) for b in [*bounds[:1], *bounds]] or [0]
     widths = [max(1024, (high - low) // BLOCKS_PER_GROUP + 1) for low, high in zip(begins, [*begins[1:], begins[-1]])]
-    low, width = F.get(F.lit(begins), F.col("_group")), F.get(F.lit(widths), F.col("_group"))
-    return rows.withColumn("_block", whole(F.col(order) - low, width)).drop("_value", "_place")
+
+    def of_group(numbers):
+        return F.get(_numbers(numbers, "bigint"), F.col("_group"))
+
+    block = whole(F.col(order) - of_group(begins), of_group(widths))
+    return rows.withColumn("_block", block).drop("_order_value", "_order_bucket")
 
 
 def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), width: int | None = None) -> DataFrame:

@@ -125,35 +125,26 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
     window is one running total over such steps. Steps are summed per millisecond first and then
     ordered in minute blocks, which bounds what one task orders. Decimal sums keep it exact.
     """
-    points = (
-        posts.withColumn("platform", platform_of(F.col("post_type")))
-        .filter(F.col("platform").isNotNull())
-        .groupBy("platform", F.col("created_at_epoch_ms").alias("ms"))
-        .agg(
-            F.sum(weighted_sentiment()).cast("decimal(24,4)").alias("weight"),
-            F.count("sentiment_mixed").alias("rated"),
-            F.count("*").alias("posts"),
+    weight = weighted_sentiment()
+    rated = F.when(weight.isNotNull(), 1).otherwise(0)
+
+    def step(ms, sign, point):
+        return F.struct(
+            ms.alias("ms"),
+            (sign * F.coalesce(weight, F.lit(0))).cast("decimal(24,4)").alias("weight"),
+            (sign * rated).cast("bigint").alias("rated"),
+            F.lit(sign).cast("bigint").alias("posts"),
+            F.lit(point).alias("point"),
         )
-    )
-    # entering and leaving step in one pass over the aggregate
-    steps = points.select(
-        "platform",
-        F.explode(
-            F.array(
-                F.struct("ms", "weight", "rated", "posts", F.lit(1).alias("point")),
-                F.struct(
-                    (F.col("ms") + hours * HOUR_MS + 1).alias("ms"),
-                    (-F.col("weight")).alias("weight"),
-                    (-F.col("rated")).alias("rated"),
-                    (-F.col("posts")).alias("posts"),
-                    F.lit(0).alias("point"),
-                ),
-            )
-        ).alias("s"),
-    ).select("platform", "s.*")
+
+    created = F.col("created_at_epoch_ms")
+    both = F.array(step(created, 1, 1), step(created + hours * HOUR_MS + 1, -1, 0))
+    steps = posts.select(platform_of(F.col("post_type")).alias("platform"), F.explode(both).alias("s"))
+    steps = steps.filter(F.col("platform").isNotNull()).select("platform", "s.*")
     values = ["weight", "rated", "posts"]
     steps = steps.groupBy("platform", "ms").agg(
-        F.max("point").alias("point"), *[F.sum(v).alias(v) for v in values]
+        F.max("point").alias("point"), *[F.sum(v).cast(k).alias(v) for v, k in
+                                         zip(values, ["decimal(24,4)", "bigint", "bigint"])]
     )
     before = {v: f"{v}_before" for v in values}
     steps = running_totals(steps, "ms", before, by=["platform"], width=60_000)

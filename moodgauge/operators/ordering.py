@@ -170,10 +170,12 @@ def cutoff(keys: DataFrame, rank, key: str = "key") -> Column:
     )
     wanted = rank(F.col("total")) if callable(rank) else F.lit(rank)
     hit = running.withColumn("wanted", wanted).filter("wanted > upto - n and wanted <= upto")
-    hit = hit.select("prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("place"))
-    inside = keys.select(key, prefix.alias("prefix")).join(hit, "prefix")
+    place = (F.col("wanted") - F.col("upto") + F.col("n")).alias("place")
+    found = hit.agg(F.max(F.struct("prefix", place)).alias("hit")).scalar()
+    # the bucket is picked by a filter, so the other keys never travel
+    inside = keys.select(key, prefix.alias("prefix")).filter(F.col("prefix") == found["prefix"])
     ranked = inside.withColumn("rn", F.row_number().over(Window.partitionBy("prefix").orderBy(key)))
-    return ranked.filter("rn = place").agg(F.max(key).alias("cut")).scalar()
+    return ranked.filter(F.col("rn") == found["place"]).agg(F.max(key).alias("cut")).scalar()
 
 
 def top_by_count(counts: DataFrame, limit: int, count: str = "n", tie: str = "token") -> DataFrame:

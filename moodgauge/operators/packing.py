@@ -93,8 +93,8 @@ def _fill(ids: str, longest: Column, pad_id: int) -> Column:
 def pad_buckets(docs: DataFrame, width: int = 50, ids: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
     """Add the length bucket and fill the lists of each up to its longest one."""
     docs = docs.withColumn("bucket", length_bucket(F.col(ids), width))
-    # one small row per bucket: at most the longest list divided by the width
-    longest = F.broadcast(docs.groupBy("bucket").agg(F.max(F.size(ids)).alias("_longest")))
+    # one small row per bucket, which adaptive execution broadcasts once it has seen its size
+    longest = docs.groupBy("bucket").agg(F.max(F.size(ids)).alias("_longest"))
     return docs.join(longest, "bucket").withColumn(ids, _fill(ids, F.col("_longest"), pad_id)).drop("_longest")
 
 

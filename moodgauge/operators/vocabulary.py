@@ -46,11 +46,11 @@ def build_vocabulary(counts: DataFrame, max_tokens: int = MAX_TOKENS, min_count:
 def encode(docs: DataFrame, vocabulary: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """(key, ids): token ids in document order, 0 for tokens outside the vocabulary.
 
-    The vocabulary has at most MAX_TOKENS + 2 rows, so it may be broadcast. All tokens of a document
-    leave one task, so the lists are built before the shuffle, which then moves one row per document.
+    A vocabulary of usual size is broadcast by the planner, which checks its bytes; a larger one makes
+    a shuffled join, where adaptive execution splits frequent tokens. With the former all tokens of a
+    document leave one task, so the lists are built before the shuffle, which then moves one row each.
     """
-    # 60,002 rows of a token and an int: a few MB
-    table = F.broadcast(vocabulary.select("token", "id"))
+    table = vocabulary.select("token", "id")
     exploded = docs.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
     found = exploded.join(table, "token", "left")
     # position and id share a long: half the bytes of a struct, and sorted as a number

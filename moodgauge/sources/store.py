@@ -34,6 +34,8 @@ class PostStore:
 
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         dated = df.withColumn("event_date", day(F.col("created_at_epoch_ms")))
+        # few files per day, and several for a day that holds most of the batch
+        dated = dated.hint("rebalance", F.col("event_date"))
         dated.write.mode("overwrite").partitionBy("event_date").parquet(f"{self.root}/{table}/batch_id={batch_id}")
 
     def _read(self, table: str, schema: T.StructType, from_ms=None, before_batch=None, to_ms=None) -> DataFrame:

@@ -128,34 +128,32 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
     weight = weighted_sentiment()
     rated = F.when(weight.isNotNull(), 1).otherwise(0)
 
-    def step(ms, sign, point):
+    def step(ms, sign):
         return F.struct(
             ms.alias("ms"),
             (sign * F.coalesce(weight, F.lit(0))).cast("decimal(24,4)").alias("weight"),
             (sign * rated).cast("bigint").alias("rated"),
-            F.lit(sign).cast("bigint").alias("posts"),
-            F.lit(point).alias("point"),
+            F.lit(int(sign > 0)).cast("bigint").alias("entered"),
+            F.lit(int(sign < 0)).cast("bigint").alias("left"),
         )
 
     created = F.col("created_at_epoch_ms")
-    both = F.array(step(created, 1, 1), step(created + hours * HOUR_MS + 1, -1, 0))
+    both = F.array(step(created, 1), step(created + hours * HOUR_MS + 1, -1))
     steps = posts.select(platform_of(F.col("post_type")).alias("platform"), F.explode(both).alias("s"))
     steps = steps.filter(F.col("platform").isNotNull()).select("platform", "s.*")
-    values = ["weight", "rated", "posts"]
-    steps = steps.groupBy("platform", "ms").agg(
-        F.max("point").alias("point"), *[F.sum(v).cast(k).alias(v) for v, k in
-                                         zip(values, ["decimal(24,4)", "bigint", "bigint"])]
-    )
-    before = {v: f"{v}_before" for v in values}
-    steps = running_totals(steps, "ms", before, by=["platform"], width=60_000)
-    rated = F.col("rated") + F.col("rated_before")
-    return steps.filter("point = 1").select(
+    # every use below needs all four sums, so that the planner finds one exchange to share
+    values = ["weight", "rated", "entered", "left"]
+    sums = [F.sum("weight").cast("decimal(24,4)").alias("weight"), *[F.sum(v).alias(v) for v in values[1:]]]
+    steps = steps.groupBy("platform", "ms").agg(*sums)
+    steps = running_totals(steps, "ms", {v: f"{v}_before" for v in values}, by=["platform"], width=60_000)
+    now = {v: F.col(v) + F.col(f"{v}_before") for v in values}
+    return steps.filter("entered > 0").select(
         "platform",
         F.col("ms").alias("created_at_epoch_ms"),
-        (F.col("posts") + F.col("posts_before")).alias("n_posts"),
-        (
-            F.when(rated > 0, (F.col("weight") + F.col("weight_before")).cast("decimal(24,4)") / rated)
-        ).cast(INDEX_VALUE).alias("sentiment_absolute"),
+        (now["entered"] - now["left"]).alias("n_posts"),
+        F.when(now["rated"] > 0, now["weight"].cast("decimal(24,4)") / now["rated"])
+        .cast(INDEX_VALUE)
+        .alias("sentiment_absolute"),
     )
 
 

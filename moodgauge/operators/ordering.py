@@ -21,10 +21,17 @@ def whole(value: Column, by) -> Column:
     return F.call_function("div", value, by if isinstance(by, Column) else F.lit(by))
 
 
+def _known(number: Column) -> Column:
+    """Not null by type. Otherwise every join below adds its own null filter to the input, and the
+    three uses of the input no longer share one exchange.
+    """
+    return F.coalesce(number.cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def _fixed_blocks(rows: DataFrame, order: str, width: int) -> DataFrame:
     """Blocks of equal width; for orders of known density, like pre-aggregated milliseconds."""
-    rows = rows.withColumn("_block", whole(F.col(order), width))
-    return rows.withColumn("_group", whole(F.col("_block"), BLOCKS_PER_GROUP))
+    rows = rows.withColumn("_block", _known(whole(F.col(order), width)))
+    return rows.withColumn("_group", _known(whole(F.col("_block"), BLOCKS_PER_GROUP)))
 
 
 def _numbers(values, kind: str) -> Column:
@@ -47,22 +54,22 @@ def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
     splits = [-float("inf"), *bounds, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="_order_value", outputCol="_order_bucket", handleInvalid="keep")
     rows = bucketizer.transform(rows.withColumn("_order_value", value))
-    rows = rows.withColumn("_group", F.col("_order_bucket").cast("int"))
+    rows = rows.withColumn("_group", _known(F.col("_order_bucket")))
     # by group: where it begins, and the width that cuts it into at most BLOCKS_PER_GROUP blocks
     begins = [int(b) for b in [*bounds[:1], *bounds]] or [0]
     widths = [max(1024, (high - low) // BLOCKS_PER_GROUP + 1) for low, high in zip(begins, [*begins[1:], begins[-1]])]
 
     def of_group(numbers):
-        return F.get(_numbers(numbers, "bigint"), F.col("_group"))
+        return F.get(_numbers(numbers, "bigint"), F.col("_group").cast("int"))
 
     block = whole(F.col(order) - of_group(begins), of_group(widths))
-    return rows.withColumn("_block", block).drop("_order_value", "_order_bucket")
+    return rows.withColumn("_block", _known(block)).drop("_order_value", "_order_bucket")
 
 
 def running_totals(df: DataFrame, order: str, totals: dict[str, str], by=(), width: int | None = None) -> DataFrame:
     """Add exclusive running totals in the order of the integer column `order`, within `by`.
 
-    `totals` maps value column to result column. `order` must be unique within `by`. Blocks follow the
+    `totals` maps value column to result column. `order` must be unique within `by` and not null. Blocks follow the
     quantiles of `order`, or have a fixed `width` where its density is known.
     """
     by = list(by)

@@ -29,24 +29,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is used only when the session itself runs on one machine.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="moodgauge-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="moodgauge-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/moodgauge/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint in the shared folder, so that a lost executor costs no recomputation."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager)

@@ -1,14 +1,12 @@
 import pytest
 
-from moodgauge.session import CHECKPOINT_CONF, local_session
+from moodgauge.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_CONF, None):
-        session.conf.set(CHECKPOINT_CONF, str(tmp_path_factory.mktemp("shared")))
     return session
 
 

@@ -16,14 +16,6 @@ def _with_bad_record(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
 
 
-def _tolerant(reader, schema):
-    return (
-        reader.schema(_with_bad_record(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-    )
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Shuffle a scan by a unique key when it has fewer splits than there are cores to work on it.
 
@@ -35,17 +27,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT) -> DataFrame:
-    """JSON-lines events; a malformed line becomes a row with its text in `_corrupt`."""
-    return _tolerant(spark.read, schema).json(path)
+    """JSON-lines events; a malformed line becomes a row with its text in `_corrupt`.
+
+    Lines are read as text and parsed as a column, so that queries on `_corrupt` alone work as well.
+    """
+    return parse_records(spark.read.text(path), schema=schema)
 
 
 def stream_events(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT,
                   files_per_trigger: int | None = None) -> DataFrame:
     """The same as a stream over a folder; the trigger of the query replaces polling."""
-    reader = _tolerant(spark.readStream, schema)
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    return parse_records(reader.text(path), schema=schema)
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, starting="latest", **options) -> DataFrame:

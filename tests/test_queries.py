@@ -25,8 +25,9 @@ def lake():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, lake, name):
-    got = contract.queries()[name](spark, SF_DIR).toPandas()
-    assert len(got.columns) > 0
+    result = contract.queries()[name](spark, SF_DIR)
+    got = result.toPandas()
+    assert len(got.columns) > 0 and result.count() == len(got)
     if name in SQL:
         assert compare(got, lake.sql(SQL[name]).df()) == ""
     else:

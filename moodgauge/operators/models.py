@@ -1,5 +1,7 @@
 """Text classifier, its evaluation, and topics: Spark ML estimators on post text."""
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -88,12 +90,12 @@ def bag_of_words(posts: DataFrame, text: str = "body", vocabulary: int = TOPIC_V
 def topics(posts: DataFrame, text: str = "body", k: int = TOPICS, iterations: int = TOPIC_ITERATIONS,
            vocabulary: int = TOPIC_VOCABULARY, terms: int = TERMS_PER_TOPIC, seed: int = 1) -> DataFrame:
     """(topic, terms, weights): the strongest terms of every topic."""
-    words, vectors = bag_of_words(posts.select(text), text, vocabulary)
+    bag, vectors = bag_of_words(posts.select(text), text, vocabulary)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     model = LDA(k=k, maxIter=iterations, seed=seed).fit(vectors)
     vectors.unpersist()
-    # k rows; the vocabulary is capped above
-    vocab = F.array(*[F.lit(term) for term in words.vocabulary])
+    # k rows; the vocabulary is capped above and goes in as one literal
+    vocab = F.from_json(F.lit(json.dumps(bag.vocabulary)), "array<string>")
     found = model.describeTopics(terms)
     return found.select(
         "topic",

@@ -146,17 +146,22 @@ def quarantine(spark, sf_dir):
     return events.filter(F.col(readers.BAD_RECORD).isNotNull()).select("event_id")
 
 
-@query(
-    "canonical_lines",
-    f"""SELECT '{{"schema":"posts-common","msgType":"' || event_type || '","clientReceivedTsMs":' || (epoch_us(ts) // 1000)
-  || ',"data":{{"id":' || event_id || ',"text":"' || replace(props, '"', '\\"') || '"}}}}' AS value
-FROM events WHERE {_GOOD}""",
-)
+_LINE = """'{"schema":"posts-common","msgType":"' || event_type || '","clientReceivedTsMs":' || (epoch_us(ts) // 1000)
+  || ',"data":{"id":' || event_id || ',"text":"' || replace(props, '"', '\\"') || '"}}'"""
+
+
+@query("canonical_lines", f"SELECT {_LINE} AS value FROM events WHERE {_GOOD}")
 def canonical_lines(spark, sf_dir):
     return readers.canonical_lines(_raw_lines(spark, sf_dir))
 
 
-@query("keyed_records")
+@query(
+    "keyed_records",
+    f"""WITH l AS (SELECT event_id, {_LINE} AS line FROM events),
+v AS (SELECT CASE WHEN event_id % 13 = 5 THEN left(line, length(line) - 4) ELSE line END AS value FROM l
+      WHERE event_id % 11 <> 3)
+SELECT md5(substr(value, 74, 127)) AS key, value FROM v""",
+)
 def keyed_records(spark, sf_dir):
     return writers.keyed_records(_raw_lines(spark, sf_dir))
 

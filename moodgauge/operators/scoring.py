@@ -47,14 +47,13 @@ def score_requests(requests: DataFrame, models_by_name: dict, lexicon: DataFrame
     `requests` are events with a unique `key`. Models are Spark ML pipelines on a column `text`.
     """
     kind = F.replace(F.col("msgType"), F.lit(REQUEST_MARK), F.lit(""))
-    with_text = requests.withColumn("text", F.col("data.text"))
-    with_text = add_lexicon_score(with_text, key, "text", lexicon)
-    with_text = with_text.withColumn("text", model_input(F.col("text")))
     routed = None
     for name, model in models_by_name.items():
         kinds = [k for k, m in MODEL_OF_TYPE.items() if m == name]
-        # each model reads only the requests routed to it
-        part = models.probabilities(model, with_text.filter(kind.isin(kinds)))
+        # lexicon and model read only the requests routed to this model
+        part = requests.filter(kind.isin(kinds)).withColumn("text", F.col("data.text"))
+        part = add_lexicon_score(part, key, "text", lexicon).withColumn("text", model_input(F.col("text")))
+        part = models.probabilities(model, part)
         values = prediction(name, F.col("scores"), F.col("vader"), processed=processed, model_weight=model_weight)
         part = part.withColumn("predictions", values).withColumn("msgType", response_type(F.col("msgType")))
         part = part.drop("scores", "vader", "text")

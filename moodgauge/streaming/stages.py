@@ -1,5 +1,6 @@
 """Stages of the live flow as Structured Streaming queries."""
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -87,13 +88,11 @@ class Ingest:
         earliest, latest = keyed.agg(F.min(created)).scalar(), keyed.agg(F.max(created)).scalar()
         return filters.unseen(first, self.store.post_keys(batch_id, earliest, latest))
 
-    def scored_posts(self, events: DataFrame, batch_id: int) -> DataFrame:
+    def requests(self, events: DataFrame, batch_id: int) -> DataFrame:
+        """New posts of a batch as scoring requests with a unique `request_id`."""
         fresh = self.new_posts(events, batch_id)
-        requests = posts.to_request(
-            fresh.withColumn("request_id", F.concat_ws(":", "platform", "id")).drop("platform", "id")
-        )
-        rows = posts.flatten(self.score(requests))
-        return rows.filter(posts.storable(rows))
+        keyed = fresh.withColumn("request_id", F.concat_ws(":", "platform", "id"))
+        return posts.to_request(keyed.drop("platform", "id"))
 
     def _due(self, batch_id: int, now: int) -> bool:
         """Whether the last earlier batch that published did so long enough ago."""
@@ -119,7 +118,13 @@ class Ingest:
         self.store.append_indices(rows, batch_id)
 
     def __call__(self, events: DataFrame, batch_id: int) -> None:
-        self.store.append_posts(self.scored_posts(events, batch_id), batch_id)
+        # classifier and lexicon both read the requests
+        requests = self.requests(events, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = posts.flatten(self.score(requests))
+            self.store.append_posts(rows.filter(posts.storable(rows)), batch_id)
+        finally:
+            requests.unpersist()
         self.refresh(batch_id, self._now_ms())
 
     def writer(self, events: DataFrame, checkpoint: str, every: str | None = "30 seconds") -> DataStreamWriter:

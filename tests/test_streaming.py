@@ -4,7 +4,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from moodgauge.operators import indices, posts
+from moodgauge.functions import text
+from moodgauge.operators import indices, models, posts, scoring
 from moodgauge.sources import readers
 from moodgauge.sources.store import PostStore
 from moodgauge.streaming import stages
@@ -85,6 +86,24 @@ def test_ingest(spark, tmp_path, rows):
     assert rows(store.posts()) == before
 
 
+def test_ingest_with_classifier_and_lexicon(spark, tmp_path, rows):
+    corpus = [(f"{'love profit' if n % 2 else 'crash fraud'} w{n % 3}", n % 2) for n in range(60)]
+    labelled = spark.createDataFrame(corpus, "text string, labels int").withColumn("text", text.model_input(F.col("text")))
+    model = models.train(labelled, iterations=5)
+    lexicon = spark.createDataFrame([("love", 3.2), ("fraud", -2.8)], "token string, valence double")
+    store = PostStore(spark, str(tmp_path / "store"))
+    ingest = ingest_of(spark, store)
+    ingest.score = lambda requests: scoring.score_requests(requests, {"stocktwits": model, "twitter": model}, lexicon)
+    batch = [tweet(1, "twitter-user", "tesla love profit", at(NOW)), stocktwit(2, "crash fraud"),
+             tweet(1, "twitter-topic", "tesla love profit", at(NOW), received=5000)]
+    folder = write_lines(tmp_path / "in", batch)
+    run(ingest, spark, folder, str(tmp_path / "state"))
+    bull = {r.post_id: (r.sentiment_ml_model, r.sentiment_vader_normalized, r.sentiment_mixed) for r in store.posts().collect()}
+    assert set(bull) == {1, 2} and bull[1][0] > Decimal("0.5") > bull[2][0]
+    assert bull[1][1] == Decimal("0.82") and bull[2][1] < Decimal("0.5")
+    assert abs(bull[1][2] - (bull[1][0] * 4 + bull[1][1]) / 5) <= Decimal("0.01")
+
+
 def test_a_repeated_batch_overwrites_itself(spark, tmp_path, rows):
     store = PostStore(spark, str(tmp_path / "store"))
     ingest = ingest_of(spark, store)

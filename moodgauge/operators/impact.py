@@ -50,8 +50,9 @@ def relevant_engagement(raw: DataFrame, posts: DataFrame, now, hours: int = 12)
 
 
 def with_impact(relevant: DataFrame) -> DataFrame:
+    """Add the impact; it is null where counters are too large to store, which fails that row only."""
     value = numeric.impact(F.col("post_type"), F.col("likes_total"), F.col("interaction_total"))
-    return relevant.withColumn("impact", value.cast(IMPACT))
+    return relevant.withColumn("impact", value.try_cast(IMPACT))
 
 
 def changed(current: DataFrame, previous: DataFrame, values=("interaction_total", "likes_total")) -> DataFrame:

@@ -72,9 +72,9 @@ def flatten(scored: DataFrame) -> DataFrame:
         permalink(kind, user, F.col("data.id")).alias("link"),
         user.alias("user_name"),
         epoch_ms(F.col("data.created_at")).alias("created_at_epoch_ms"),
-        values["bull_sentiment"].cast(SCORE).alias("sentiment_ml_model"),
-        values["vader_sentiment"].cast(SCORE).alias("sentiment_vader_normalized"),
-        values["bull_vader_sentiment"].cast(SCORE).alias("sentiment_mixed"),
+        values["bull_sentiment"].try_cast(SCORE).alias("sentiment_ml_model"),
+        values["vader_sentiment"].try_cast(SCORE).alias("sentiment_vader_normalized"),
+        values["bull_vader_sentiment"].try_cast(SCORE).alias("sentiment_mixed"),
         F.col("clientReceivedTsMs").alias("client_received_epoch_ms"),
     )
 

@@ -107,7 +107,8 @@ class Ingest:
         start = now - LOOK_BACK_SECONDS * 1000
         recent = self.store.posts(start, batch_id + 1)
         relevant = impact.with_impact(impact.relevant_engagement(self.engagement(start), recent, now))
-        changed = impact.changed(relevant, self.store.impacts(start, batch_id))
+        storable = relevant.filter(F.col("impact").isNotNull())
+        changed = impact.changed(storable, self.store.impacts(start, batch_id))
         stamps = recent.select("post_type", F.col("post_id").alias("message_id"), "created_at_epoch_ms")
         self.store.append_impacts(changed.join(stamps, impact.KEY), batch_id)
         if self.store.impacts_of(batch_id).isEmpty() and not self._due(batch_id, now):

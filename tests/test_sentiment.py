@@ -31,6 +31,12 @@ def test_engagement_and_relevant(spark, rows):
     ]
 
 
+def test_an_impact_too_large_to_store_fails_alone(spark, rows):
+    raw = spark.createDataFrame([("stocktwit", 1, 10**12, 1), ("stocktwit", 2, 1, 1)],
+                                "post_type string, message_id bigint, interaction_total bigint, likes_total bigint")
+    assert rows(impact.with_impact(raw), "message_id", "impact") == [(1, None), (2, Decimal("3.00"))]
+
+
 def test_changed_and_apply(spark, rows):
     shape = "post_type string, message_id bigint, interaction_total bigint, likes_total bigint"
     before = spark.createDataFrame([("a", 1, 1, 1), ("a", 2, None, 1), ("b", 1, 5, 5)], shape)

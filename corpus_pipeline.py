@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodgauge.llm import exact, mixing, neighbours
+from moodgauge.llm import exact, jaccard, mixing, neighbours, packing
 from moodgauge.llm.tables import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,15 +22,27 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact.without_copies(docs)
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group linked by near equal shingle sets."""
+    return jaccard.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mixed_rows(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: a row per piece, with its ids."""
+    return packing.packed(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", keep_good),
     ("exact_dedup", keep_first_copies),
+    ("jaccard_join", keep_one_of_near_copies),
     ("source_mix", mix_sources),
+    ("packing", pack),
 ]
 
 # the classifier and the packing have no SQL form; tests compare the stages with plain Python

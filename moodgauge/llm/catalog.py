@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodgauge.llm import exact, mixing, neighbours
+from moodgauge.llm import exact, jaccard, mixing, neighbours, packing
 from moodgauge.llm.tables import table
 
 
@@ -18,12 +18,20 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op7_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbour_quality, op4_source_mix, op9_exact_dedup)
+    f.__name__: f for f in (op1_neighbour_quality, op4_source_mix, op5_jaccard_join, op7_tiered_packing, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {"op4_source_mix": mixing.SQL, "op9_exact_dedup": exact.SQL}

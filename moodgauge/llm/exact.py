@@ -26,6 +26,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # else each partition of the state reserves some MB of disk before it holds a row
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 

@@ -6,7 +6,8 @@ its tier, its gap takes the largest rests of shorter tiers that fit, and when no
 can't fill a window waits for the task's next documents; at the end of the task it is cut into windows of powers of two. So all
 windows are full. Windows of a buffer are dealt, longest first, over step groups of equal token budgets.
 
-Words are tokenised once per task: this tokenizer never joins across white space, so a text's ids are those of its words in turn.
+Words are tokenised once per task: this tokenizer never joins across white space, nor a letter with a following sign, and it
+lowers case, so a text's ids are those of its lowered words and signs in turn.
 
 Defined cases: a null or empty text is the end id alone; rows that repeat are packed each; a null doc_id stays null; further
 columns are ignored; an empty table gives no pieces. Ids of sequences and groups are unique over the result, not consecutive.
@@ -30,7 +31,17 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 BUFFER_TOKENS = 2 << 20
 GROUP_TOKENS = 32 * 2048
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
+
+# bytes of ASCII letters; of words of letters up to U+024F; and signs that end a word of letters for the tokenizer.
+# An apostrophe may begin a part of its own, and a bar belongs to the names of special tokens, so neither is a sign here.
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+PLAIN = LETTER.copy()
+PLAIN[0x80:0xC0] = PLAIN[0xC3:0xCA] = True
+SIGN = np.zeros(256, bool)
+SIGN[[x for x in range(33, 127) if not chr(x).isalnum() and chr(x) not in "'|"]] = True
+BAR = ord("|")
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, step_group long, ids binary"
 
 
@@ -48,6 +59,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -55,21 +69,53 @@ class WordTokens:
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def of_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after another, and how many each has."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def of_plain_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, encoded in rows: each word's last id is one that ends a word."""
+        rows = [" ".join(texts[k : k + 64]) for k in range(0, len(texts), 64)]
+        ids = np.fromiter((i for x in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False) for i in x.ids), np.uint32)
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(texts) else self.of_words(texts)
+
     def learn(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> None:
         """hashes: sorted and not known yet."""
         raw = data.tobytes()
-        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist())]
-        found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-        starts = len(self.pool) + np.cumsum(sizes) - sizes
+        texts = np.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist())], object)
+        odd = ~PLAIN[data]
+        odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # the signs of times and division
+        running = np.append(0, np.cumsum(odd))
+        plain = running[end] == running[begin]
+        sizes, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        pool = [self.pool]
+        room = len(self.pool)
+        for some, way in ((plain, self.of_plain_words), (~plain, self.of_words)):
+            ids, own = way(texts[some].tolist())
+            sizes[some] = own
+            starts[some] = room + np.cumsum(own) - own
+            pool.append(ids)
+            room += len(ids)
         at = np.searchsorted(self.hashes, hashes)
         self.hashes, self.starts, self.sizes = np.insert(self.hashes, at, hashes), np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
-        self.pool = np.concatenate((self.pool, ids))
+        self.pool = np.concatenate(pool)
+
+    def parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes in lower case, begin and end of words cut before a sign after a letter, and the first part of each text."""
+        cut = np.flatnonzero(LETTER[data[:-1]] & SIGN[data[1:]]) + 1
+        begin, end = tx.spans(~tx.SPACE[data], np.concatenate((offsets, cut)))
+        lowered = tx.LOWER[data]
+        running = np.append(0, np.cumsum(data == BAR))
+        for k in np.flatnonzero((running[end] > running[begin]) & (end - begin > 12)):  # may hold a special token's name
+            lowered[begin[k] : end[k]] = data[begin[k] : end[k]]
+        return lowered, begin, end, np.searchsorted(begin, offsets)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, END_ID after each text, and where each text begins (one more at the end)."""
-        begin, end, at = tx.words(data, offsets)
+        data, begin, end, at = self.parts(data, offsets)
         hashes = tx.span_hash(tx.sums(data), begin, end)
         if len(self.hashes) > KNOWN_WORDS:
             self.forget()

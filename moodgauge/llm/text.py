@@ -65,7 +65,7 @@ def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES, most_row
 
 
 def spans(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of each run of True that does not cross a text's border."""
+    """Begin and end of each run of True; no run crosses an offset."""
     if not len(solid):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     border = np.zeros(len(solid) + 1, bool)

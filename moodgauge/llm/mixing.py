@@ -23,7 +23,7 @@ from moodgauge.llm.tables import stored
 
 WEIGHTS = (5, 2, 1)
 SLICES = 1024
-ORDERED_ROWS = 100_000
+ORDERED_ROWS = 2_000
 SIGNS = "#*$%&|<>!"
 
 

@@ -5,12 +5,14 @@ Equal sets are one node. Nodes are small or large by the number of their shingle
 * Small with small: two sets of sizes s and s' link if they share a subset of t(s, s') shingles, the overlap the threshold asks for.
   Each small set gives its subsets of those fixed sizes, named with the pair of sizes, so meeting under a name is a link.
 * Large with anything: shingles are ordered, frequent ones last, and a set of size s lies in the inverted lists of its first
-  s - ceil(0.85 s) + 1 shingles; two sets that link meet in a list. A list first pairs its members with a few pivots. Those pairs
-  are checked on the whole sets, and components are formed. Then lists that still hold several components pair the members of
-  different components, if sizes, places and a parity bitmap allow a link, and those pairs are checked too. So no link between
-  components is lost, and the members of a group of near copies are never paired with one another.
+  s - ceil(0.85 s) + 1 shingles; two sets that link meet in a list. In each round the members of a list that lie in another
+  component than the list's pivot are paired with it, if sizes, places and parity bitmaps allow a link; the pairs are checked on
+  the whole sets, components are formed, and lists inside one component are done. When rounds with ever new pivots find little, all
+  pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
+  near copies are never all paired with one another.
 
 The order of shingles changes the cost, not the result. It knows at most FREQUENT shingles, those found most often within chunks.
+Lists name a node by half of its digest; both halves decide what is one node.
 
 Defined cases: a null text, or one without words, has no shingle and is its own component; fewer words than `n` count as one
 shingle; rows that repeat, and rows with a null doc_id, belong to their set's component, whose name is its smallest id; other
@@ -34,8 +36,9 @@ from moodgauge.llm.tables import drop, stored
 
 FREQUENT = 1 << 20
 SMALLEST_LARGE = 48  # no set of so many shingles is worth enumerating
-FILTER_BITS = 24
-SETS = "doc_id long, row string, node binary, size int, b1 long, b2 long, shingle long, seen long"
+FILTER_BITS, LIST_FILTER_BITS = 24, 26
+LITTLE = 0.005  # of the nodes: rounds go on while they link more
+SETS = "doc_id long, row string, node binary, d1 long, size int, b1 long, b2 long, shingle long, seen long"
 
 
 def overlap(a, b, percent: int):
@@ -93,7 +96,7 @@ def binaries(rows: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
 
 
 def signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
+    return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -111,10 +114,11 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                 often = seen >= 3
                 found, seen = found[often], seen[often]
                 count, more = len(size), len(found)
-                columns = [rows.column("doc_id").cast(pa.int64()), rows.column("row").cast(pa.string()), binaries(digests(shingles, at), size > 0), pa.array(size.astype(np.int32)), *map(signed, halves)]
-                of_docs = pa.RecordBatch.from_arrays([*columns, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], ["doc_id", "row", "node", "size", "b1", "b2", "shingle", "seen"])
+                node = digests(shingles, at)
+                columns = [rows.column("doc_id").cast(pa.int64()), rows.column("row").cast(pa.string()), binaries(node, size > 0), signed(node[:, 0]), pa.array(size.astype(np.int32)), *map(signed, halves)]
+                of_docs = pa.RecordBatch.from_arrays([*columns, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], ["doc_id", "row", "node", "d1", "size", "b1", "b2", "shingle", "seen"])
                 yield of_docs
-                nothing = [pa.nulls(more, field.type) for field in of_docs.schema][:6]
+                nothing = [pa.nulls(more, field.type) for field in of_docs.schema][:7]
                 yield pa.RecordBatch.from_arrays([*nothing, signed(found), pa.array(seen.astype(np.int64))], of_docs.schema.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text", "row").mapInArrow(read, SETS)
@@ -148,13 +152,14 @@ def subset_names(sets: np.ndarray, size: int, other: int, t: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, percent: int, boundary: int, frequent: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """(shingle, node, size, place) of inverted lists, and (name, node, size, pair) of subsets, where pair is the larger size."""
+    """(shingle, d1, spot) of inverted lists, where spot is size << 32 | place, and (name, other, node, size) of subsets."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, rank))
     lowest = least_partner(boundary, percent)
+    names = ["shingle", "d1", "spot", "name", "other", "node", "size"]
+    kinds = [pa.int64()] * 3 + [pa.binary(), pa.int32(), pa.binary(), pa.int32()]
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = shared.value
-        names = ["shingle", "place", "name", "other", "node", "size"]
         for batch in batches:
             for _, data, offsets in tx.chunks(batch, "text"):
                 shingles, at = shingle_sets(data, offsets, n)
@@ -174,20 +179,21 @@ def signatures(docs: DataFrame, n: int, percent: int, boundary: int, frequent: n
                 place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(size)))[text]
                 inside = place <= size[text] - least_partner(size[text], percent)
                 text, listed, place = text[inside], listed[inside], place[inside]
-                if len(text):
-                    k = len(text)
-                    yield pa.RecordBatch.from_arrays([signed(listed), pa.array(place.astype(np.int32)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), binaries(node[text]), pa.array(size[text].astype(np.int32))], names)
+                if k := len(text):
+                    rows = [signed(listed), signed(node[text, 0]), pa.array(size[text] << 32 | place)]
+                    yield pa.RecordBatch.from_arrays(rows + [pa.nulls(k, kind) for kind in kinds[3:]], names)
                 for s in range(1, boundary):
                     own = np.flatnonzero(chosen & (size == s))
                     for other, t in subsets_given(s, boundary, percent) if len(own) else ():
                         step = max(1, 200_000 // comb(s, t))
                         for part in (own[k : k + step] for k in range(0, len(own), step)):
                             name = subset_names(shingles[at[part][:, None] + np.arange(s)], s, other, t)
-                            rows = np.repeat(node[part], name.shape[1], 0)
-                            k = len(rows)
-                            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), binaries(name.reshape(k, 2)), pa.array(np.full(k, other, np.int32)), binaries(rows), pa.array(np.full(k, s, np.int32))], names)
+                            whole = np.repeat(node[part], name.shape[1], 0)
+                            k = len(whole)
+                            rows = [binaries(name.reshape(k, 2)), pa.array(np.full(k, other, np.int32)), binaries(whole), pa.array(np.full(k, s, np.int32))]
+                            yield pa.RecordBatch.from_arrays([pa.nulls(k, kind) for kind in kinds[:3]] + rows, names)
 
-    return docs.select("text").mapInArrow(give, "shingle long, place int, name binary, other int, node binary, size int")
+    return docs.select("text").mapInArrow(give, "shingle long, d1 long, spot long, name binary, other int, node binary, size int")
 
 
 def subset_links(given: DataFrame) -> DataFrame:
@@ -197,95 +203,130 @@ def subset_links(given: DataFrame) -> DataFrame:
     return given.select("name", F.col("node").alias("b")).join(met, "name").filter("a <> b").select("a", "b").distinct()
 
 
-def allowed(percent: int, *, bits: bool):
-    """Whether sizes, places and parity bitmaps of sides x and y leave room for a link."""
-    x, y = F.col("x.size"), F.col("y.size")
-    need = F.floor((percent * (x + y) + 99 + percent) / (100 + percent))
-    out = (x - F.col("x.place") >= need) & (y - F.col("y.place") >= need) & (need <= F.least(x, y))
-    if bits:
-        out = out & bits_allow(x, y, need)
+def may_link(x: str, y: str, percent: int, *, places: bool):
+    """Whether the sizes, bitmaps and (of lists) places of two sides leave room for a link."""
+    size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
+    need = F.floor((percent * (size_x + size_y) + 99 + percent) / (100 + percent))
+    differ = F.bit_count(F.col(f"{x}.b1").bitwiseXOR(F.col(f"{y}.b1"))) + F.bit_count(F.col(f"{x}.b2").bitwiseXOR(F.col(f"{y}.b2")))
+    out = (need <= F.least(size_x, size_y)) & (differ <= size_x + size_y - 2 * need)
+    if places:
+        out = out & (size_x - F.col(f"{x}.place") >= need) & (size_y - F.col(f"{y}.place") >= need)
     return out
 
 
-def bits_allow(x, y, need):
-    differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
-    return differ <= x + y - 2 * need
+def bit_place(column: str, bits: int):
+    return F.pmod(F.xxhash64(column), F.lit(1 << bits))
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (2**FILTER_BITS bits) that holds the hashes of all ids; others may be held too."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    place = place + 1  # these functions count from 1
-    blocks = ids.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    out = np.zeros((1 << FILTER_BITS) // 8 + 8192, np.uint8)
-    for block, bits in blocks.collect():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
-        out[(block - 1) * 4096 : block * 4096] = np.frombuffer(bits, np.uint8)
+def bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of fixed size (2**bits bits) that holds the hashes of all values; others may be held too."""
+    place = bit_place(column, bits) + 1  # these functions count from 1
+    blocks = values.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for block, found in blocks.toLocalIterator():  # at most 2**bits / 32768 rows of 4 KB
+        out[(block - 1) * 4096 : block * 4096] = np.frombuffer(found, np.uint8)
     return out
 
 
-def sets_of_nodes(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes. nodes has a doc_id per node; texts whose id is surely not wanted are passed over."""
-    held = stored(nodes.join(wanted, "node", "left_semi").select("node", "doc_id"), "wanted")
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(held.filter("doc_id is not null")))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("place")
+def in_bitmap(held: np.ndarray, places: pa.Array) -> np.ndarray:
+    at = places.to_numpy(zero_copy_only=False)
+    return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def sets_of_nodes(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(node, shingles) of wanted nodes (and perhaps of some more). Texts whose id is surely not that of a wanted node are passed over."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.filter("doc_id is not null"), "doc_id", FILTER_BITS))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
         for batch in batches:
-            at = batch.column("place").to_numpy(zero_copy_only=False)
-            known = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-            batch = batch.filter(pa.array(known | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)))
-            for _, data, offsets in tx.chunks(batch, "text"):
+            known = in_bitmap(shared.value, batch.column("place")) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            for _, data, offsets in tx.chunks(batch.filter(pa.array(known)), "text"):
                 shingles, starts = shingle_sets(data, offsets, n)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), signed(shingles))
                 yield pa.RecordBatch.from_arrays([binaries(digests(shingles, starts), np.diff(starts) > 0), lists], ["node", "shingles"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", place).mapInArrow(give, "node binary, shingles array<long>")
-    return stored(found.join(held.select("node"), "node", "left_semi").dropDuplicates(["node"]), "wanted-sets")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", bit_place("doc_id", FILTER_BITS))
+    return rows.mapInArrow(give, "node binary, shingles array<long>")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = sets_of_nodes(docs, nodes, both, n)
+    sets = stored(sets_of_nodes(docs, stored(nodes.join(both, "node", "left_semi").select("doc_id"), "wanted"), n), "wanted-sets")
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     joined = pairs.join(a, "a").join(b, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
-    out = stored(joined.filter((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b"), "linked")
+    # texts that repeat a node's id may give its set again
+    out = stored(joined.filter((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b").distinct(), "linked")
     drop(sets)
     return out
 
 
-def star_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Each list's members paired with up to four pivots, which lists of one group tend to share."""
-    one = F.struct("node", "size", "place")
-    salted = F.struct(F.xxhash64("node").alias("h"), one.alias("one"))
-    turned = F.struct(F.xxhash64("node", F.lit(7)).alias("h"), one.alias("one"))
-    pivots = lists.groupBy("shingle").agg(F.min("node").alias("n1"), F.max("node").alias("n2"), F.min(salted).alias("p1"), F.max(salted).alias("p2"), F.min(turned).alias("p3"), F.max(turned).alias("p4"))
-    pivots = pivots.filter("n1 <> n2").select("shingle", F.explode(F.array_distinct(F.array("p1.one", "p2.one", "p3.one", "p4.one"))).alias("y"))
-    met = lists.select("shingle", one.alias("x")).join(pivots, "shingle").filter("x.node <> y.node").filter(allowed(percent, bits=False))
-    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    side = F.struct("size", "b1", "b2")
-    pairs = pairs.join(nodes.select(F.col("node").alias("a"), side.alias("x")), "a").join(nodes.select(F.col("node").alias("b"), side.alias("y")), "b")
-    need = F.floor((percent * (F.col("x.size") + F.col("y.size")) + 99 + percent) / (100 + percent))
-    return pairs.filter(bits_allow(F.col("x.size"), F.col("y.size"), need)).select("a", "b")
-
-
-def remaining_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a list that lie in different components and may link."""
-    shared = lists.groupBy("shingle").agg(F.min("node").alias("n1"), F.max("node").alias("n2")).filter("n1 <> n2").select("shingle")
-    known = nodes.join(roots, "node", "left").select("node", "b1", "b2", F.coalesce("root", "node").alias("root"))
-    members = stored(lists.join(shared, "shingle", "left_semi").distinct().join(known, "node"), "members")
-    mixed = members.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("shingle")
-    open_lists = members.join(mixed, "shingle", "left_semi")
+def shared_lists(given: DataFrame) -> DataFrame:
+    """(shingle, d1, spot) of lists with several nodes. Entries of other lists are told by a bitmap of fixed size before the shuffle."""
+    counted = given.groupBy("shingle").agg(F.min("d1").alias("n1"), F.max("d1").alias("n2"))
+    several = stored(counted.filter("n1 <> n2").select("shingle"), "shared")
+    held = given.sparkSession.sparkContext.broadcast(bitmap(several, "shingle", LIST_FILTER_BITS))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(held.value, batch.column("bit")))).drop_columns(["bit"])
+
+    likely = given.withColumn("bit", bit_place("shingle", LIST_FILTER_BITS)).mapInArrow(keep, given.schema)
+    return stored(likely.distinct().join(several, "shingle"), "lists")
+
+
+def with_roots(lists: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(shingle, x) of the lists with several components; x has d1, node, size, place, b1, b2 and root."""
+    known = nodes.join(roots, "node", "left").select("d1", "node", "b1", "b2", F.coalesce("root", "node").alias("root"))
+    size, place = F.shiftright("spot", 32).cast("int").alias("size"), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
+    members = lists.join(known, "d1").select("shingle", "spot", F.struct("d1", "node", size, place, "b1", "b2", "root").alias("x"))
+    members = stored(members, "members")
+    several = members.groupBy("shingle").agg(F.min("x.root").alias("r1"), F.max("x.root").alias("r2")).filter("r1 <> r2").select("shingle")
+    out = stored(members.join(several, "shingle", "left_semi"), "open-lists")
+    drop(members)
+    return out
+
+
+def ordered_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def pivot_pairs(members: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Members of a list with the list's pivot, the one with the least hash, which lists of one group tend to share."""
+    pivots = members.groupBy("shingle").agg(F.min_by("x", F.xxhash64("x.d1", F.lit(seed))).alias("y"))
+    met = members.join(pivots, "shingle").filter("x.root <> y.root").filter(may_link("x", "y", percent, places=True))
+    return ordered_pairs(met)
+
+
+def remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of a list that lie in different components and may link."""
     # bands are a little wider than the threshold, so partners lie in the same band of sizes or the next
-    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
-    side = F.struct("node", "size", "place", "b1", "b2", "root")
-    x = open_lists.select("shingle", band.alias("band"), side.alias("x"))
-    y = open_lists.select("shingle", F.explode(F.array(band - 1, band, band + 1)).alias("band"), side.alias("y"))
-    met = x.join(y, ["shingle", "band"]).filter("x.node < y.node and x.root <> y.root").filter(allowed(percent, bits=True))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    band = F.floor(F.log(F.col("x.size").cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
+    left = members.select("shingle", band.alias("band"), "x")
+    right = members.select("shingle", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.col("x").alias("y"))
+    met = left.join(right, ["shingle", "band"]).filter("x.node < y.node and x.root <> y.root").filter(may_link("x", "y", percent, places=True))
+    return ordered_pairs(met)
+
+
+def list_roots(lists: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """Components from links and from all links that the lists show."""
+    roots, count, seed = components(links), nodes.count(), 0
+    members = with_roots(lists, nodes, roots)
+    while True:
+        pairs = stored(pivot_pairs(members, seed, percent), "pivot-pairs")
+        found = checked(pairs, docs, nodes, n, percent) if not pairs.isEmpty() else pairs
+        links, seed = links.unionByName(found), seed + 1
+        if (linked := found.count()) > 0:
+            roots = components(links)
+            members = with_roots(members.select("shingle", "x.d1", "spot"), nodes, roots)
+        if linked <= LITTLE * count:
+            break
+    pairs = stored(remaining_pairs(members, percent), "remaining-pairs")
+    if pairs.isEmpty():
+        return roots
+    return components(links.unionByName(checked(pairs, docs, nodes, n, percent)))
 
 
 def document_order():
@@ -296,8 +337,9 @@ def document_order():
 def set_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, row, size, node and the component's first document (no_id, doc_id, row) for every row of doc_id, text, row."""
     read = stored(read_sets(docs, n), "sets")
-    sets = read.filter("size is not null").select("doc_id", "row", "node", "size", "b1", "b2")
-    nodes = stored(sets.filter("node is not null").groupBy("node", "size", "b1", "b2").agg(F.min(document_order()).alias("first")).withColumn("doc_id", F.col("first.doc_id")), "nodes")
+    sets = read.filter("size is not null").select("doc_id", "row", "node", "d1", "size", "b1", "b2")
+    nodes = sets.filter("node is not null").groupBy("node", "d1", "size", "b1", "b2").agg(F.min(document_order()).alias("first"))
+    nodes = stored(nodes.withColumn("doc_id", F.col("first.doc_id")), "nodes")
     words = sets.agg(F.sum("size")).first()[0] or 0
     hints = read.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
     least = max(16, -(-words // FREQUENT))
@@ -309,15 +351,10 @@ def set_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     sizes = dict(nodes.filter(F.col("size") <= 2 * SMALLEST_LARGE).groupBy("size").count().collect())
     boundary = cheapest_boundary(sizes, repeats / max(words, 1), percent)
     given = stored(signatures(docs, n, percent, boundary, frequent[order], rank[order]), "signatures")
-    lists = given.filter("shingle is not null").select("shingle", "node", "size", "place")
-    small = stored(subset_links(given.filter("name is not null").select("name", "other", "node", "size")), "subset-links")
-    pairs = stored(star_pairs(lists, nodes, percent), "star-pairs")
-    links = small.unionByName(checked(pairs, docs, nodes, n, percent))
-    roots = components(links)
-    more = stored(remaining_pairs(lists, nodes, roots, percent), "remaining-pairs")
+    links = stored(subset_links(given.filter("name is not null").select("name", "other", "node", "size")), "subset-links")
+    lists = shared_lists(given.filter("shingle is not null").select("shingle", "d1", "spot"))
     drop(given)
-    if not more.isEmpty():
-        roots = components(links.unionByName(checked(more, docs, nodes, n, percent)))
+    roots = list_roots(lists, links, docs, nodes, n, percent)
     named = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     of_node = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("node", "component")
     alone = F.when(F.col("node").isNull(), document_order()).otherwise(F.col("component"))

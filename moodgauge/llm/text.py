@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 # word separators of every contract: space and \x09 to \x0D
 SPACE = np.zeros(256, bool)

@@ -6,9 +6,9 @@ Equal sets are one node. Nodes are small or large by the number of their shingle
   Each small set gives its subsets of those fixed sizes, named with the pair of sizes, so meeting under a name is a link.
 * Large with anything: shingles are ordered, frequent ones last, and a set of size s lies in the inverted lists of its first
   s - ceil(0.85 s) + 1 shingles; two sets that link meet in a list. In each round the members of a list that lie in another
-  component than the list's pivot are paired with it, if sizes, places and parity bitmaps allow a link; the pairs are checked on
-  the whole sets, components are formed, and lists inside one component are done. When rounds with ever new pivots find little, all
-  pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
+  component than the list's pivots are paired with them, if sizes, places and parity bitmaps allow a link; the pairs are checked on
+  the whole sets, components are formed, and lists inside one component are done. Pivots come from the largest component in the
+  list, one in the first round and more in later ones. In the end all pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
   near copies are never all paired with one another.
 
 The order of shingles changes the cost, not the result. It knows at most FREQUENT shingles, those found most often within chunks.
@@ -37,7 +37,7 @@ from moodgauge.llm.tables import drop, stored
 FREQUENT = 1 << 20
 SMALLEST_LARGE = 48  # no set of so many shingles is worth enumerating
 FILTER_BITS, LIST_FILTER_BITS = 24, 26
-LITTLE = 0.005  # of the nodes: rounds go on while they link more
+PIVOTS = (1, 4, 16)  # of a list in each round
 SETS = "doc_id long, row string, node binary, d1 long, size int, b1 long, b2 long, shingle long, seen long"
 
 
@@ -278,10 +278,11 @@ def shared_lists(given: DataFrame) -> DataFrame:
 
 
 def with_roots(lists: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(shingle, x) of the lists with several components; x has d1, node, size, place, b1, b2 and root."""
-    known = nodes.join(roots, "node", "left").select("d1", "node", "b1", "b2", F.coalesce("root", "node").alias("root"))
+    """(shingle, x) of the lists with several components; x has d1, node, size, place, b1, b2, root and the root's members."""
+    sized = roots.join(roots.groupBy("root").agg(F.count("*").alias("members")), "root")
+    known = nodes.join(sized, "node", "left").select("d1", "node", "b1", "b2", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
     size, place = F.shiftright("spot", 32).cast("int").alias("size"), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
-    members = lists.join(known, "d1").select("shingle", "spot", F.struct("d1", "node", size, place, "b1", "b2", "root").alias("x"))
+    members = lists.join(known, "d1").select("shingle", "spot", F.struct("d1", "node", size, place, "b1", "b2", "root", "members").alias("x"))
     members = stored(members, "members")
     several = members.groupBy("shingle").agg(F.min("x.root").alias("r1"), F.max("x.root").alias("r2")).filter("r1 <> r2").select("shingle")
     out = stored(members.join(several, "shingle", "left_semi"), "open-lists")
@@ -293,11 +294,12 @@ def ordered_pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def pivot_pairs(members: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Members of a list with the list's pivot, the one with the least hash, which lists of one group tend to share."""
-    pivots = members.groupBy("shingle").agg(F.min_by("x", F.xxhash64("x.d1", F.lit(seed))).alias("y"))
-    met = members.join(pivots, "shingle").filter("x.root <> y.root").filter(may_link("x", "y", percent, places=True))
-    return ordered_pairs(met)
+def pivot_pairs(members: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """Members of a list with its pivots: those of the largest component there with the least hashes, so that lists of one group tend to share them."""
+    order = [F.struct(-F.col("x.members"), F.col("x.root"), F.xxhash64("x.d1", F.lit(pivots + k))) for k in range(pivots)]
+    chosen = members.groupBy("shingle").agg(F.array_distinct(F.array(*[F.min_by("x", key) for key in order])).alias("ys"))
+    met = members.join(chosen.select("shingle", F.explode("ys").alias("y")), "shingle").filter("x.root <> y.root")
+    return ordered_pairs(met.filter(may_link("x", "y", percent, places=True)))
 
 
 def remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -312,17 +314,17 @@ def remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def list_roots(lists: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """Components from links and from all links that the lists show."""
-    roots, count, seed = components(links), nodes.count(), 0
+    roots = components(links)
     members = with_roots(lists, nodes, roots)
-    while True:
-        pairs = stored(pivot_pairs(members, seed, percent), "pivot-pairs")
-        found = checked(pairs, docs, nodes, n, percent) if not pairs.isEmpty() else pairs
-        links, seed = links.unionByName(found), seed + 1
-        if (linked := found.count()) > 0:
+    for pivots in PIVOTS:
+        pairs = stored(pivot_pairs(members, pivots, percent), "pivot-pairs")
+        if pairs.isEmpty():
+            continue
+        found = checked(pairs, docs, nodes, n, percent)
+        if not found.isEmpty():
+            links = links.unionByName(found)
             roots = components(links)
             members = with_roots(members.select("shingle", "x.d1", "spot"), nodes, roots)
-        if linked <= LITTLE * count:
-            break
     pairs = stored(remaining_pairs(members, percent), "remaining-pairs")
     if pairs.isEmpty():
         return roots
@@ -334,7 +336,7 @@ def document_order():
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
 
 
-def set_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def set_components(docs: DataFrame, n: int = 4, percent: int = 85, boundary: int | None = None) -> DataFrame:
     """doc_id, row, size, node and the component's first document (no_id, doc_id, row) for every row of doc_id, text, row."""
     read = stored(read_sets(docs, n), "sets")
     sets = read.filter("size is not null").select("doc_id", "row", "node", "d1", "size", "b1", "b2")
@@ -349,7 +351,8 @@ def set_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     rank = 1 + np.log2(often["seen"].to_numpy()).astype(np.int64)
     repeats = read.agg(F.sum(F.col("seen") - 1)).first()[0] or 0
     sizes = dict(nodes.filter(F.col("size") <= 2 * SMALLEST_LARGE).groupBy("size").count().collect())
-    boundary = cheapest_boundary(sizes, repeats / max(words, 1), percent)
+    if boundary is None:
+        boundary = cheapest_boundary(sizes, repeats / max(words, 1), percent)
     given = stored(signatures(docs, n, percent, boundary, frequent[order], rank[order]), "signatures")
     links = stored(subset_links(given.filter("name is not null").select("name", "other", "node", "size")), "subset-links")
     lists = shared_lists(given.filter("shingle is not null").select("shingle", "d1", "spot"))

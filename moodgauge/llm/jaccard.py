@@ -8,7 +8,7 @@ Equal sets are one node. Nodes are small or large by the number of their shingle
   s - ceil(0.85 s) + 1 shingles; two sets that link meet in a list. In each round the members of a list that lie in another
   component than the list's pivots are paired with them, if sizes, places and parity bitmaps allow a link; the pairs are checked on
   the whole sets, components are formed, and lists inside one component are done. Pivots come from the largest component in the
-  list, one in the first round and more in later ones. In the end all pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
+  list, few in the first round and more in the next. In the end all pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
   near copies are never all paired with one another.
 
 The order of shingles changes the cost, not the result. It knows at most FREQUENT shingles, those found most often within chunks.
@@ -27,7 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
@@ -37,8 +37,10 @@ from moodgauge.llm.tables import drop, stored
 FREQUENT = 1 << 20
 SMALLEST_LARGE = 48  # no set of so many shingles is worth enumerating
 FILTER_BITS, LIST_FILTER_BITS = 24, 26
-PIVOTS = (1, 4, 16)  # of a list in each round
-SETS = "doc_id long, row string, node binary, d1 long, size int, b1 long, b2 long, shingle long, seen long"
+BROADCAST_IDS = 1 << 20  # more are told by a bitmap of fixed size
+WIDE = 64  # numbers of 64 bits in a node's long parity bitmap
+PIVOTS = (2, 12)  # of a list in each round
+SETS = "doc_id long, row string, node binary, d1 long, size int, b1 long, b2 long, wide array<long>, shingle long, seen long"
 
 
 def overlap(a, b, percent: int):
@@ -50,6 +52,20 @@ def least_partner(size, percent: int):
     return (percent * size + 99) // 100
 
 
+def ordered(text: np.ndarray, shingles: np.ndarray, level: np.ndarray | None = None) -> np.ndarray:
+    """The order by text, level and shingle; by one number where its bits tell all rows apart that differ."""
+    if len(text) and int(text[-1]) < 1 << 16:
+        short = np.uint64(16 if level is None else 22)
+        key = text.astype(np.uint64) << np.uint64(48) | shingles >> short
+        if level is not None:
+            key |= level.astype(np.uint64) << np.uint64(42)
+        order = np.argsort(key)
+        key, found = key[order], shingles[order]
+        if not ((key[1:] == key[:-1]) & (found[1:] != found[:-1])).any():
+            return order
+    return np.lexsort((shingles, text) if level is None else (shingles, level, text))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, ascending, end to end, and where each text's begin (one more at the end)."""
     lowered = tx.LOWER[data]
@@ -63,7 +79,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
             found.append(tx.grams(hashes, few)[at[:-1][short]])
             of.append(short)
     shingles, text = np.concatenate(found), np.concatenate(of)
-    order = np.lexsort((shingles, text))
+    if len(found) > 1:
+        order = np.argsort(text, kind="stable")
+        shingles, text = shingles[order], text[order]
+    order = ordered(text, shingles)
     shingles, text = shingles[order], text[order]
     if len(text):
         first = np.append(True, (shingles[1:] != shingles[:-1]) | (text[1:] != text[:-1]))
@@ -86,6 +105,14 @@ def digests(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack(parts, 1)
 
 
+def parity(shingles: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A bitmap of WIDE numbers per set: whether an odd number of its shingles falls on each bit. Two bitmaps differ in at most as many bits as the sets in shingles."""
+    room = WIDE * 64
+    text = np.repeat(np.arange(len(size)), size)
+    odd = np.bincount(text * room + (shingles % np.uint64(room)).astype(np.int64), minlength=len(size) * room) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(size), room), axis=1).view(np.uint64)
+
+
 def binaries(rows: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
     """Rows of 64-bit numbers as binary values."""
     width = rows.shape[1] * 8
@@ -104,21 +131,21 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in tx.chunks(batch, "text"):
+            for rows, data, offsets in tx.chunks(batch, "text", most_rows=512):
                 shingles, at = shingle_sets(data, offsets, n)
-                bit = shingles >> np.uint64(57)
-                one = np.uint64(1) << (bit & np.uint64(63))
-                halves = [folded(np.where(bit < 64, one, np.uint64(0)), at, np.bitwise_xor), folded(np.where(bit >= 64, one, np.uint64(0)), at, np.bitwise_xor)]
                 size = np.diff(at)
+                wide = parity(shingles, size)
+                halves = [np.bitwise_xor.reduce(wide[:, k::2], 1) for k in (0, 1)]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * WIDE), signed(wide.ravel()))
                 found, seen = np.unique(shingles, return_counts=True)
                 often = seen >= 3
                 found, seen = found[often], seen[often]
                 count, more = len(size), len(found)
                 node = digests(shingles, at)
-                columns = [rows.column("doc_id").cast(pa.int64()), rows.column("row").cast(pa.string()), binaries(node, size > 0), signed(node[:, 0]), pa.array(size.astype(np.int32)), *map(signed, halves)]
-                of_docs = pa.RecordBatch.from_arrays([*columns, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], ["doc_id", "row", "node", "d1", "size", "b1", "b2", "shingle", "seen"])
+                columns = [rows.column("doc_id").cast(pa.int64()), rows.column("row").cast(pa.string()), binaries(node, size > 0), signed(node[:, 0]), pa.array(size.astype(np.int32)), *map(signed, halves), lists]
+                of_docs = pa.RecordBatch.from_arrays([*columns, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], ["doc_id", "row", "node", "d1", "size", "b1", "b2", "wide", "shingle", "seen"])
                 yield of_docs
-                nothing = [pa.nulls(more, field.type) for field in of_docs.schema][:7]
+                nothing = [pa.nulls(more, field.type) for field in of_docs.schema][:8]
                 yield pa.RecordBatch.from_arrays([*nothing, signed(found), pa.array(seen.astype(np.int64))], of_docs.schema.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text", "row").mapInArrow(read, SETS)
@@ -174,7 +201,7 @@ def signatures(docs: DataFrame, n: int, percent: int, boundary: int, frequent: n
                 text, listed = text[used], shingles[used]
                 spot = np.minimum(np.searchsorted(frequent, listed), max(len(frequent) - 1, 0))
                 level = np.where(frequent[spot] == listed, rank[spot], 0) if len(frequent) else np.zeros(len(listed), np.int64)
-                order = np.lexsort((listed, level, text))
+                order = ordered(text, listed, level)
                 text, listed = text[order], listed[order]
                 place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(size)))[text]
                 inside = place <= size[text] - least_partner(size[text], percent)
@@ -203,15 +230,12 @@ def subset_links(given: DataFrame) -> DataFrame:
     return given.select("name", F.col("node").alias("b")).join(met, "name").filter("a <> b").select("a", "b").distinct()
 
 
-def may_link(x: str, y: str, percent: int, *, places: bool):
-    """Whether the sizes, bitmaps and (of lists) places of two sides leave room for a link."""
+def may_link(x: str, y: str, percent: int) -> Column:
+    """Whether the sizes, places and bitmaps of two members of a list leave room for a link."""
     size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
     need = F.floor((percent * (size_x + size_y) + 99 + percent) / (100 + percent))
     differ = F.bit_count(F.col(f"{x}.b1").bitwiseXOR(F.col(f"{y}.b1"))) + F.bit_count(F.col(f"{x}.b2").bitwiseXOR(F.col(f"{y}.b2")))
-    out = (need <= F.least(size_x, size_y)) & (differ <= size_x + size_y - 2 * need)
-    if places:
-        out = out & (size_x - F.col(f"{x}.place") >= need) & (size_y - F.col(f"{y}.place") >= need)
-    return out
+    return (size_x - F.col(f"{x}.place") >= need) & (size_y - F.col(f"{y}.place") >= need) & (need <= F.least(size_x, size_y)) & (differ <= size_x + size_y - 2 * need)
 
 
 def bit_place(column: str, bits: int):
@@ -234,32 +258,49 @@ def in_bitmap(held: np.ndarray, places: pa.Array) -> np.ndarray:
 
 
 def sets_of_nodes(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of wanted nodes (and perhaps of some more). Texts whose id is surely not that of a wanted node are passed over."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.filter("doc_id is not null"), "doc_id", FILTER_BITS))
+    """(node, shingles) of wanted nodes, and perhaps of some more. wanted: doc_ids, one or more of each wanted node."""
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = in_bitmap(shared.value, batch.column("place")) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            for _, data, offsets in tx.chunks(batch.filter(pa.array(known)), "text"):
+            for _, data, offsets in tx.chunks(batch, "text"):
                 shingles, starts = shingle_sets(data, offsets, n)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), signed(shingles))
                 yield pa.RecordBatch.from_arrays([binaries(digests(shingles, starts), np.diff(starts) > 0), lists], ["node", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", bit_place("doc_id", FILTER_BITS))
-    return rows.mapInArrow(give, "node binary, shingles array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if wanted.count() <= BROADCAST_IDS:
+        ids = F.broadcast(wanted.select(F.col("doc_id").alias("wanted_id")).distinct())
+        rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+        return rows.mapInArrow(give, "node binary, shingles array<long>")
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.filter("doc_id is not null"), "doc_id", FILTER_BITS))
+
+    def give_likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = in_bitmap(held.value, batch.column("place")) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            yield from give([batch.filter(pa.array(known))])
+
+    return rows.withColumn("place", bit_place("doc_id", FILTER_BITS)).mapInArrow(give_likely, "node binary, shingles array<long>")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(sets_of_nodes(docs, stored(nodes.join(both, "node", "left_semi").select("doc_id"), "wanted"), n), "wanted-sets")
+    """The pairs (a, b), given by halves of digests, whose whole sets link, by nodes. Long bitmaps go first, whole sets decide."""
+    side = F.struct("node", "size", "wide")
+    x = nodes.select(F.col("d1").alias("a"), side.alias("x"))
+    y = nodes.select(F.col("d1").alias("b"), side.alias("y"))
+    size = F.col("x.size") + F.col("y.size")
+    differ = F.aggregate(F.zip_with("x.wide", "y.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, b: a + b)
+    likely = pairs.join(x, "a").join(y, "b").filter(differ <= size - 2 * F.floor((percent * size + 99 + percent) / (100 + percent)))
+    likely = stored(likely.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "likely-pairs")
+    both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.join(both, "node", "left_semi").select("doc_id"), "wanted")
+    sets = stored(sets_of_nodes(docs, wanted, n), "wanted-sets")
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    joined = pairs.join(a, "a").join(b, "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     # texts that repeat a node's id may give its set again
-    out = stored(joined.filter((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b").distinct(), "linked")
-    drop(sets)
+    linked = likely.join(a, "a").join(b, "b").filter((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b")))
+    out = stored(linked.select("a", "b").distinct(), "linked")
+    drop(likely, wanted, sets)
     return out
 
 
@@ -278,38 +319,44 @@ def shared_lists(given: DataFrame) -> DataFrame:
 
 
 def with_roots(lists: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(shingle, x) of the lists with several components; x has d1, node, size, place, b1, b2, root and the root's members."""
+    """(shingle, d1, spot, x) of the lists with several components; x has d1, size, place, b1, b2, root (hashed) and its members."""
     sized = roots.join(roots.groupBy("root").agg(F.count("*").alias("members")), "root")
-    known = nodes.join(sized, "node", "left").select("d1", "node", "b1", "b2", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
-    size, place = F.shiftright("spot", 32).cast("int").alias("size"), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
-    members = lists.join(known, "d1").select("shingle", "spot", F.struct("d1", "node", size, place, "b1", "b2", "root", "members").alias("x"))
-    members = stored(members, "members")
-    several = members.groupBy("shingle").agg(F.min("x.root").alias("r1"), F.max("x.root").alias("r2")).filter("r1 <> r2").select("shingle")
+    known = nodes.select("d1", "node", "b1", "b2").join(sized, "node", "left")
+    known = known.select("d1", "b1", "b2", F.xxhash64(F.coalesce("root", "node")).alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
+    members = stored(lists.join(known, "d1"), "members")
+    several = members.groupBy("shingle").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("shingle")
     out = stored(members.join(several, "shingle", "left_semi"), "open-lists")
     drop(members)
     return out
 
 
+def member() -> Column:
+    """A row of a list as one value."""
+    size, place = F.shiftright("spot", 32).cast("int").alias("size"), F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
+    return F.struct("d1", size, place, "b1", "b2", "root", "members")
+
+
 def ordered_pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return met.select(F.least("x.d1", "y.d1").alias("a"), F.greatest("x.d1", "y.d1").alias("b")).distinct()
 
 
 def pivot_pairs(members: DataFrame, pivots: int, percent: int) -> DataFrame:
     """Members of a list with its pivots: those of the largest component there with the least hashes, so that lists of one group tend to share them."""
-    order = [F.struct(-F.col("x.members"), F.col("x.root"), F.xxhash64("x.d1", F.lit(pivots + k))) for k in range(pivots)]
-    chosen = members.groupBy("shingle").agg(F.array_distinct(F.array(*[F.min_by("x", key) for key in order])).alias("ys"))
-    met = members.join(chosen.select("shingle", F.explode("ys").alias("y")), "shingle").filter("x.root <> y.root")
-    return ordered_pairs(met.filter(may_link("x", "y", percent, places=True)))
+    order = [F.struct(-F.col("members"), "root", F.xxhash64("d1", F.lit(pivots + k))) for k in range(pivots)]
+    chosen = members.groupBy("shingle").agg(F.array_distinct(F.array(*[F.min_by(member(), key) for key in order])).alias("ys"))
+    met = members.select("shingle", member().alias("x")).join(chosen.select("shingle", F.explode("ys").alias("y")), "shingle")
+    return ordered_pairs(met.filter((F.col("x.root") != F.col("y.root")) & may_link("x", "y", percent)))
 
 
 def remaining_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs of members of a list that lie in different components and may link."""
     # bands are a little wider than the threshold, so partners lie in the same band of sizes or the next
     band = F.floor(F.log(F.col("x.size").cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
-    left = members.select("shingle", band.alias("band"), "x")
-    right = members.select("shingle", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.col("x").alias("y"))
-    met = left.join(right, ["shingle", "band"]).filter("x.node < y.node and x.root <> y.root").filter(may_link("x", "y", percent, places=True))
-    return ordered_pairs(met)
+    rows = members.select("shingle", member().alias("x"))
+    left = rows.select("shingle", band.alias("band"), "x")
+    right = rows.select("shingle", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.col("x").alias("y"))
+    met = left.join(right, ["shingle", "band"]).filter("x.d1 < y.d1 and x.root <> y.root")
+    return ordered_pairs(met.filter(may_link("x", "y", percent)))
 
 
 def list_roots(lists: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -317,15 +364,14 @@ def list_roots(lists: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataF
     roots = components(links)
     members = with_roots(lists, nodes, roots)
     for pivots in PIVOTS:
-        pairs = stored(pivot_pairs(members, pivots, percent), "pivot-pairs")
-        if pairs.isEmpty():
-            continue
-        found = checked(pairs, docs, nodes, n, percent)
+        found = checked(stored(pivot_pairs(members, pivots, percent), "pivot-pairs"), docs, nodes, n, percent)
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links)
-            members = with_roots(members.select("shingle", "x.d1", "spot"), nodes, roots)
+            before, members = members, with_roots(members.select("shingle", "d1", "spot"), nodes, roots)
+            drop(before)
     pairs = stored(remaining_pairs(members, percent), "remaining-pairs")
+    drop(members)
     if pairs.isEmpty():
         return roots
     return components(links.unionByName(checked(pairs, docs, nodes, n, percent)))
@@ -339,8 +385,8 @@ def document_order():
 def set_components(docs: DataFrame, n: int = 4, percent: int = 85, boundary: int | None = None) -> DataFrame:
     """doc_id, row, size, node and the component's first document (no_id, doc_id, row) for every row of doc_id, text, row."""
     read = stored(read_sets(docs, n), "sets")
-    sets = read.filter("size is not null").select("doc_id", "row", "node", "d1", "size", "b1", "b2")
-    nodes = sets.filter("node is not null").groupBy("node", "d1", "size", "b1", "b2").agg(F.min(document_order()).alias("first"))
+    sets = read.filter("size is not null").select("doc_id", "row", "node", "d1", "size", "b1", "b2", "wide")
+    nodes = sets.filter("node is not null").groupBy("node", "d1", "size", "b1", "b2").agg(F.min(document_order()).alias("first"), F.first("wide").alias("wide"))
     nodes = stored(nodes.withColumn("doc_id", F.col("first.doc_id")), "nodes")
     words = sets.agg(F.sum("size")).first()[0] or 0
     hints = read.filter("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))

@@ -8,7 +8,7 @@ Equal sets are one node. Nodes are small or large by the number of their shingle
   s - ceil(0.85 s) + 1 shingles; two sets that link meet in a list. In each round the members of a list that lie in another
   component than the list's pivots are paired with them, if sizes, places and parity bitmaps allow a link; the pairs are checked on
   the whole sets, components are formed, and lists inside one component are done. Pivots come from the largest component in the
-  list, few in the first round and more in the next. In the end all pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
+  list, one in the first round and more in later ones. In the end all pairs that are left in different components are checked. So no link between components is lost, and the members of a group of
   near copies are never all paired with one another.
 
 The order of shingles changes the cost, not the result. It knows at most FREQUENT shingles, those found most often within chunks.
@@ -39,7 +39,7 @@ SMALLEST_LARGE = 48  # no set of so many shingles is worth enumerating
 FILTER_BITS, LIST_FILTER_BITS = 24, 26
 BROADCAST_IDS = 1 << 20  # more are told by a bitmap of fixed size
 WIDE = 64  # numbers of 64 bits in a node's long parity bitmap
-PIVOTS = (2, 12)  # of a list in each round
+PIVOTS = (1, 8, 64)  # of a list in each round
 SETS = "doc_id long, row string, node binary, d1 long, size int, b1 long, b2 long, wide array<long>, shingle long, seen long"
 
 
@@ -341,10 +341,14 @@ def ordered_pairs(met: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(members: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """Members of a list with its pivots: those of the largest component there with the least hashes, so that lists of one group tend to share them."""
-    order = [F.struct(-F.col("members"), "root", F.xxhash64("d1", F.lit(pivots + k))) for k in range(pivots)]
-    chosen = members.groupBy("shingle").agg(F.array_distinct(F.array(*[F.min_by(member(), key) for key in order])).alias("ys"))
-    met = members.select("shingle", member().alias("x")).join(chosen.select("shingle", F.explode("ys").alias("y")), "shingle")
+    """Members of a list with its pivots: of each of so many parts of the nodes, the one in the largest component with the least hash.
+
+    Lists of one group tend to have the same pivots, so their pairs are the same.
+    """
+    part = F.pmod(F.xxhash64("d1", F.lit(pivots)), F.lit(pivots))
+    order = F.struct(-F.col("members"), "root", F.xxhash64("d1", F.lit(-pivots)))
+    chosen = members.groupBy("shingle", part.alias("part")).agg(F.min_by(member(), order).alias("y")).select("shingle", "y")
+    met = members.select("shingle", member().alias("x")).join(chosen, "shingle")
     return ordered_pairs(met.filter((F.col("x.root") != F.col("y.root")) & may_link("x", "y", percent)))
 
 

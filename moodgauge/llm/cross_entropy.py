@@ -116,7 +116,7 @@ def counted(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
         if own.held:
             yield own.take()
 
-    sums = docs.select("text", "is_target").mapInArrow(count, "key long, n long, target long")
+    sums = docs.select("text", "is_target").mapInArrow(tx.tidy(count), "key long, n long, target long")
     return sums.groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
@@ -163,7 +163,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 mean = [np.bincount(text, row, len(counts)) / np.maximum(counts, 1) for row in losses]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(counts), *map(pa.array, mean), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    return docs.select("doc_id", "text").mapInArrow(tx.tidy(score), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -148,7 +148,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                 nothing = [pa.nulls(more, field.type) for field in of_docs.schema][:8]
                 yield pa.RecordBatch.from_arrays([*nothing, signed(found), pa.array(seen.astype(np.int64))], of_docs.schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text", "row").mapInArrow(read, SETS)
+    return docs.select(F.col("doc_id").cast("long"), "text", "row").mapInArrow(tx.tidy(read), SETS)
 
 
 def subsets_given(size: int, boundary: int, percent: int) -> list[tuple[int, int]]:
@@ -220,7 +220,7 @@ def signatures(docs: DataFrame, n: int, percent: int, boundary: int, frequent: n
                             rows = [binaries(name.reshape(k, 2)), pa.array(np.full(k, other, np.int32)), binaries(whole), pa.array(np.full(k, s, np.int32))]
                             yield pa.RecordBatch.from_arrays([pa.nulls(k, kind) for kind in kinds[:3]] + rows, names)
 
-    return docs.select("text").mapInArrow(give, "shingle long, d1 long, spot long, name binary, other int, node binary, size int")
+    return docs.select("text").mapInArrow(tx.tidy(give), "shingle long, d1 long, spot long, name binary, other int, node binary, size int")
 
 
 def subset_links(given: DataFrame) -> DataFrame:
@@ -271,7 +271,7 @@ def sets_of_nodes(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(wanted.select(F.col("doc_id").alias("wanted_id")).distinct())
         rows = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-        return rows.mapInArrow(give, "node binary, shingles array<long>")
+        return rows.mapInArrow(tx.tidy(give), "node binary, shingles array<long>")
     held = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.filter("doc_id is not null"), "doc_id", FILTER_BITS))
 
     def give_likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def sets_of_nodes(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             known = in_bitmap(held.value, batch.column("place")) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             yield from give([batch.filter(pa.array(known))])
 
-    return rows.withColumn("place", bit_place("doc_id", FILTER_BITS)).mapInArrow(give_likely, "node binary, shingles array<long>")
+    return rows.withColumn("place", bit_place("doc_id", FILTER_BITS)).mapInArrow(tx.tidy(give_likely), "node binary, shingles array<long>")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -314,7 +314,7 @@ def shared_lists(given: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(in_bitmap(held.value, batch.column("bit")))).drop_columns(["bit"])
 
-    likely = given.withColumn("bit", bit_place("shingle", LIST_FILTER_BITS)).mapInArrow(keep, given.schema)
+    likely = given.withColumn("bit", bit_place("shingle", LIST_FILTER_BITS)).mapInArrow(tx.tidy(keep), given.schema)
     return stored(likely.distinct().join(several, "shingle"), "lists")
 
 

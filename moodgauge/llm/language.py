@@ -66,7 +66,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "bucket", "n"])
 
-    found = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null").mapInArrow(count, "lang string, bucket long, n long")
+    found = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null").mapInArrow(tx.tidy(count), "lang string, bucket long, n long")
     return found.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -98,7 +98,7 @@ def evidence(pages: DataFrame, names: list[str], model: np.ndarray) -> DataFrame
                 yield pa.RecordBatch.from_arrays([rows.column("page_id").cast(pa.int64()), rows.column("host").cast(pa.string()), pa.array([declared(p) for p in page]), *lists], ["page_id", "host", "declared", "like", "chance"])
 
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
-    found = pages.select("page_id", "html", host.alias("host")).mapInArrow(read, "page_id long, host string, declared string, like array<double>, chance array<double>")
+    found = pages.select("page_id", "html", host.alias("host")).mapInArrow(tx.tidy(read), "page_id long, host string, declared string, like array<double>, chance array<double>")
     parts = F.split("host", r"\.")
     return found.select("*", F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".").alias("domain"), F.element_at(parts, -1).alias("suffix"))
 

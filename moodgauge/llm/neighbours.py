@@ -105,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
                     [rows.column("doc_id").cast(pa.int64()), rows.column("label").cast(pa.int32()), pa.array([x.astype(np.float16).tobytes() for x in counts], pa.binary())], ["doc_id", "label", "terms"]
                 )
 
-    sample = labelled_texts(docs, labels, column, per_class).mapInArrow(vectors, "doc_id long, label int, terms binary")
+    sample = labelled_texts(docs, labels, column, per_class).mapInArrow(tx.tidy(vectors), "doc_id long, label int, terms binary")
     held = sample.toArrow().sort_by([("doc_id", "ascending"), ("terms", "ascending")])
     if held.num_rows == 0:
         return None
@@ -141,7 +141,7 @@ def scored(docs: DataFrame, model: Model | None, keep_from: float | None = None)
                 out = pa.RecordBatch.from_arrays([*rows.columns, pa.array(of)], [*rows.schema.names, "quality_score"])
                 yield out if keep_from is None else out.filter(pa.array(of >= keep_from))
 
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(tx.tidy(score), schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:

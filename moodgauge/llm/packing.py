@@ -29,9 +29,9 @@ from moodgauge.llm import text as tx
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
-BUFFER_TOKENS = 2 << 20
+BUFFER_TOKENS = 1 << 20
 GROUP_TOKENS = 32 * 2048
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 
 # bytes of ASCII letters; of words of letters up to U+024F; and signs that end a word of letters for the tokenizer.
 # An apostrophe may begin a part of its own, and a bar belongs to the names of special tokens, so neither is a sign here.
@@ -259,7 +259,7 @@ def packed(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         if last := list(packer.flush()):
             yield record(last)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tx.tidy(pack), SCHEMA)
 
 
 def pieces(docs: DataFrame, **options) -> DataFrame:

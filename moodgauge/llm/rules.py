@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
                 features = statistics(data, offsets)[1]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), rows.column("label").cast(pa.int32()), pa.array(features.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "features"])
 
-    held = labelled_texts(docs, labels, column, per_class).mapInArrow(measure, "doc_id long, label int, features array<double>").toArrow().sort_by("doc_id")
+    held = labelled_texts(docs, labels, column, per_class).mapInArrow(tx.tidy(measure), "doc_id long, label int, features array<double>").toArrow().sort_by("doc_id")
     known = held["label"].to_numpy()
     if len(set(known.tolist())) < 2:
         return None
@@ -178,7 +178,7 @@ def judged(docs: DataFrame, trees: Trees | None, threshold: float = 0.3) -> Data
                 arrays = [rows.column("doc_id").cast(pa.int64()), *map(pa.array, base.T.copy()), pa.array(failed), pa.array(chance), pa.array(~failed & (chance >= threshold))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *BASE, "base_failed", "chance", "kept"])
 
-    return docs.select("doc_id", "text").mapInArrow(judge, schema)
+    return docs.select("doc_id", "text").mapInArrow(tx.tidy(judge), schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
                     own = table.take(pa.array(np.unique(which[at[k] : at[k + 1]])))
                     yield pa.RecordBatch.from_arrays([rows.column("doc_id").slice(k, 1).cast(pa.int64()), rows.column("label").slice(k, 1).cast(pa.int32()), pa.array([own], pa.list_(pa.binary()))], ["doc_id", "label", "words"])
 
-    held = labelled_texts(docs, labels, column, per_class).mapInArrow(words, "doc_id long, label int, words array<binary>").toArrow()
+    held = labelled_texts(docs, labels, column, per_class).mapInArrow(tx.tidy(words), "doc_id long, label int, words array<binary>").toArrow()
     held = held.filter(pa.compute.greater(pa.compute.list_value_length(held["words"]), 0)).sort_by("doc_id")
     labels_of = held["label"].to_numpy()
     if len(set(labels_of.tolist())) < 2:
@@ -220,7 +220,7 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                         out[some] = 1 / (1 + np.exp(-np.clip(np.maximum.reduceat(logit[which], at[:-1][some]), -30, 30)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out)], [*rows.schema.names, "toxicity"])
 
-    return docs.mapInArrow(score, docs.withColumn("toxicity", F.lit(0.0)).schema)
+    return docs.mapInArrow(tx.tidy(score), docs.withColumn("toxicity", F.lit(0.0)).schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodgauge.llm import cross_entropy, exact, jaccard, language, mixing, neighbours, packing, rules, subwords
+from moodgauge.llm import cross_entropy, exact, jaccard, language, mixing, neighbours, packing, rules, subwords, suffixes
 from moodgauge.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_entropy.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,7 +53,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_neighbour_quality, op3_cross_entropy, op4_source_mix, op5_jaccard_join, op6_subword_toxicity,
+        op1_neighbour_quality, op2_suffix_dedup, op3_cross_entropy, op4_source_mix, op5_jaccard_join, op6_subword_toxicity,
         op7_tiered_packing, op8_tree_rules, op9_exact_dedup, op10_language,
     )
 }

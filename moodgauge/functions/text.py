@@ -91,8 +91,8 @@ def tag_for_scoring(text: Column) -> Column:
 
 
 def model_input(text: Column) -> Column:
-    """The one form in which text reaches the classifier, in training and in scoring alike."""
-    return tag_for_scoring(clean_post(text))
+    """The one form in which text reaches the classifier, in training and in scoring alike; null text is empty."""
+    return tag_for_scoring(clean_post(F.coalesce(text, F.lit(""))))
 
 
 #: What the pattern \s matches, for trimming.

@@ -35,7 +35,7 @@ def _rows(df: DataFrame, kind: Column, seconds: Column, now, value: Column) -> D
         kind.alias("sentiment_type"),
         seconds.cast("bigint").alias("sentiment_seconds_back"),
         as_ms(now).alias("created_at_epoch_ms"),
-        value.cast(INDEX_VALUE).alias("sentiment_absolute"),
+        value.try_cast(INDEX_VALUE).alias("sentiment_absolute"),  # null if it does not fit
         F.lit(None).cast(GLOBAL_SENTIMENT["sentiment_normalized"].dataType).alias("sentiment_normalized"),
     )
 
@@ -143,7 +143,7 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
     steps = steps.filter(F.col("platform").isNotNull()).select("platform", "s.*")
     # every use below needs all four sums, so that the planner finds one exchange to share
     values = ["weight", "rated", "entered", "left"]
-    sums = [F.sum("weight").cast("decimal(24,4)").alias("weight"), *[F.sum(v).alias(v) for v in values[1:]]]
+    sums = [F.sum("weight").try_cast("decimal(24,4)").alias("weight"), *[F.sum(v).alias(v) for v in values[1:]]]
     steps = steps.groupBy("platform", "ms").agg(*sums)
     steps = running_totals(steps, "ms", {v: f"{v}_before" for v in values}, by=["platform"], width=60_000)
     now = {v: F.col(v) + F.col(f"{v}_before") for v in values}
@@ -151,8 +151,8 @@ def trailing_sentiment(posts: DataFrame, hours: int = 12) -> DataFrame:
         "platform",
         F.col("ms").alias("created_at_epoch_ms"),
         (now["entered"] - now["left"]).alias("n_posts"),
-        F.when(now["rated"] > 0, now["weight"].cast("decimal(24,4)") / now["rated"])
-        .cast(INDEX_VALUE)
+        F.when(now["rated"] > 0, now["weight"].try_cast("decimal(24,4)") / now["rated"])
+        .try_cast(INDEX_VALUE)
         .alias("sentiment_absolute"),
     )
 

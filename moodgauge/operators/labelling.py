@@ -69,6 +69,11 @@ def labelled_rows(corpus: DataFrame, sentiment: str = "sentiment", text: str = "
     return labels.filter("labels <> 2").withColumnRenamed(text, "text")
 
 
+def unknown_label_rows(corpus: DataFrame, sentiment: str = "sentiment") -> DataFrame:
+    """The rows that `labelled_rows` leaves out because their label has no number, for a look at what they say."""
+    return corpus.filter(numeric_label(F.col(sentiment)).isNull())
+
+
 def unlabelled(corpus: DataFrame) -> DataFrame:
     """The language-model form: every label 0."""
     return corpus.withColumn("labels", F.lit(0))

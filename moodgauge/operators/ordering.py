@@ -50,7 +50,7 @@ def _quantile_blocks(rows: DataFrame, order: str) -> DataFrame:
     value = F.col(order).cast("double")
     shares = _numbers([n / GROUPS for n in range(GROUPS + 1)], "double")
     found = rows.agg(F.percentile_approx(value, shares, 4 * GROUPS)).first()[0] or []
-    bounds = sorted(set(found))
+    bounds = sorted(set(found)) or [0.0]  # no rows: one border, which parts nothing
     splits = [-float("inf"), *bounds, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="_order_value", outputCol="_order_bucket", handleInvalid="keep")
     rows = bucketizer.transform(rows.withColumn("_order_value", value))
@@ -134,20 +134,21 @@ def with_previous(
 
     `slice_by` is a non-decreasing function of the first order column. Rows are ordered inside one
     slice of a key; between slices only the last row of each travels, so one hot key still spreads
-    over as many tasks as it has slices.
+    over as many tasks as it has slices. Null keys are one key, and rows without an order come first.
     """
     rows = df.withColumn("_slice", slice_by).withColumn("_value", F.struct(*[F.col(c) for c in values]))
-    lasts = rows.groupBy(*keys, "_slice").agg(
+    # one struct as the key, as its equality holds for nulls inside
+    rows = rows.withColumn("_place", F.struct(*keys, "_slice"))
+    lasts = rows.groupBy("_place").agg(
         F.max_by("_value", F.struct(*[F.col(c) for c in order])).alias("_last")
     )
-    carried = lasts.select(
-        *keys, "_slice", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_carried")
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    by_slice = Window.partitionBy(*[F.col(f"_place.`{c}`") for c in keys]).orderBy("_place._slice")
+    carried = lasts.select("_place", F.lag("_last").over(by_slice).alias("_carried"))
+    inside = Window.partitionBy("_place").orderBy(*order)
     previous = F.when(F.row_number().over(inside) == 1, F.col("_carried")).otherwise(
         F.lag("_value").over(inside)
     )
-    return rows.join(carried, [*keys, "_slice"]).select(*df.columns, previous.alias(name))
+    return rows.join(carried, "_place").select(*df.columns, previous.alias(name))
 
 
 def shuffle_key(row_id: Column, seed: int = 0) -> Column:

@@ -10,6 +10,10 @@ from moodgauge.operators.vocabulary import PAD_ID
 BLOCK, LANES = 70, 52
 
 
+def _size(ids: str) -> Column:
+    return F.coalesce(F.size(ids), F.lit(0))
+
+
 def _sized(docs: DataFrame, key: str, ids: str) -> DataFrame:
     return docs.select(key, ids, F.size(ids).cast("bigint").alias("_size")).filter("_size > 0")
 
@@ -67,9 +71,9 @@ def length_bucket(ids: Column, width: int = 50) -> Column:
 def length_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int = 48) -> DataFrame:
     """Longest documents first, `batch_size` of them per batch, so that a batch pads little.
 
-    Only (key, length) is ranked; the ids are joined back by key.
+    Only (key, length) is ranked; the ids are joined back by key. A null list has length 0.
     """
-    sized = docs.select(key, F.size(ids).alias("_size"))
+    sized = docs.select(key, _size(ids).alias("_size"))
     ranked = number_rows(sized, key, "_rank", lead="_size")
     return docs.join(ranked.select(key, whole(F.col("_rank"), batch_size).alias("batch")), key)
 
@@ -79,7 +83,7 @@ def sortish_batches(docs: DataFrame, key: str, ids: str = "ids", batch_size: int
     """Random chunks of `chunk` batches, longest documents first inside each, so that batches of one
     length follow no global order. No chunk holds more than `chunk * batch_size` documents.
     """
-    sized = docs.select(key, F.size(ids).alias("_size"), shuffle_number(F.col(key), seed).alias("_place"))
+    sized = docs.select(key, _size(ids).alias("_size"), shuffle_number(F.col(key), seed).alias("_place"))
     ranked = number_rows(sized, "_place", "_rank").withColumn("_chunk", whole(F.col("_rank"), chunk * batch_size))
     inside = F.row_number().over(Window.partitionBy("_chunk").orderBy(F.desc("_size"), key)) - 1
     batch = F.col("_chunk") * chunk + whole(inside, batch_size)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from moodgauge.functions.numeric import impact
 from moodgauge.functions.text import words
 from moodgauge.schemas import IMPACT, INDEX_VALUE, SCORE
-from moodgauge.sources.readers import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,7 +150,7 @@ a AS (SELECT c_custkey AS id, c_name AS name, 'user' || c_custkey AS screen_name
 
 def texts(spark, sf_dir) -> DataFrame:
     """(doc_id, text)"""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def documents(spark, sf_dir) -> DataFrame:

@@ -16,16 +16,6 @@ def _with_bad_record(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType(), True)])
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a scan by a unique key when it has fewer splits than there are cores to work on it.
-
-    For few, small files before heavy per-row work. A large table has more splits than cores and is
-    left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_events(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT) -> DataFrame:
     """JSON-lines events; a malformed line becomes a row with its text in `_corrupt`.
 

@@ -66,7 +66,7 @@ class PostStore:
         """The current row of every post, with its latest impact."""
         rows = self._read("posts", schemas.POSTS, from_ms, before_batch)
         current = last_per_key(rows.drop("event_date"), ["post_type", "post_id"], ["batch_id"]).drop("batch_id")
-        return apply_impact(current, self.impacts(from_ms))
+        return apply_impact(current, self.impacts(from_ms, before_batch))
 
     def post_keys(self, before_batch: int | None = None, from_ms=None, to_ms=None) -> DataFrame:
         """(post_type, post_id) of stored posts created in a span; reads no other column.

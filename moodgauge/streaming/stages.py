@@ -1,7 +1,7 @@
 """Stages of the live flow as Structured Streaming queries."""
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -53,9 +53,21 @@ def highest_positions(records: DataFrame) -> DataFrame:
     return records.groupBy("shard").agg(top.alias("t")).select("shard", "t.seq", "t.sub_seq")
 
 
-def with_counters(df: DataFrame, name: str) -> DataFrame:
-    """Row counters reported with the query's progress, at no extra pass."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"), F.count("id").alias("keyed"))
+def land_counted(events: DataFrame, path: str, counts: str, checkpoint: str) -> DataStreamWriter:
+    """Write each batch, and beside it a row of its counters, observed while it is written.
+
+    Progress reports keep the last batches only; the rows below `counts` are one per batch, and a batch that runs again
+    replaces its own.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation("counters")
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("id").alias("keyed"))
+        counted.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+        row = batch.sparkSession.createDataFrame([(seen.get["rows"], seen.get["keyed"])], "rows bigint, keyed bigint")
+        row.write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
 #: Indices are published again after this time, even if no impact changed.
@@ -83,7 +95,9 @@ class Ingest:
 
     def new_posts(self, events: DataFrame, batch_id: int) -> DataFrame:
         keyed = filter_stage(events, self.keywords)
-        first = filters.first_seen(keyed, ["clientReceivedTsMs", "msgType"])
+        # equal times and types: the content decides, so that a batch that runs again stores the same body
+        content = keyed.withColumn("_content", F.sha2(F.to_json("data"), 256))
+        first = filters.first_seen(content, ["clientReceivedTsMs", "msgType", "_content"]).drop("_content")
         created = epoch_ms(F.col("data.created_at"))
         earliest, latest = keyed.agg(F.min(created)).scalar(), keyed.agg(F.max(created)).scalar()
         return filters.unseen(first, self.store.post_keys(batch_id, earliest, latest))

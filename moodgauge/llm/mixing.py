@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodgauge.llm.tables import stored
+from moodgauge.llm.tables import small, stored
 
 WEIGHTS = (5, 2, 1)
 SLICES = 1024
@@ -89,27 +89,28 @@ def cuts(rows: DataFrame, share: float, most: float) -> DataFrame:
     sources = rows.groupBy("source", "name").agg(F.sum("size").alias("source_size"))
     spread = targets(sources, share, most).withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     aims = stored(spread.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-sources")
-    state = aims.select("name", "rest", F.lit(0).cast("long").alias("below"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"))
+    state = stored(aims.select("name", "rest", F.lit(0).cast("long").alias("below"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high")), "mix-slice")
     while True:
-        inside = rows.join(state, "name").filter(F.col("key").between(F.col("low"), F.col("high")))
+        inside = rows.join(small(state), "name").filter(F.col("key").between(F.col("low"), F.col("high")))
         bounds = inside.groupBy("name").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
         state = stored(state.drop("low", "high").join(bounds, "name"), "mix-slice")
         if (state.agg(F.max(F.when(F.col("low") < F.col("high"), F.col("n")))).first()[0] or 0) <= ORDERED_ROWS:
             break
         place = F.when(F.col("high") > F.col("low"), F.floor((F.col("key") - F.col("low")) / (F.col("high") - F.col("low")) * SLICES)).otherwise(0)
         sums = (
-            rows.join(state.drop("n"), "name").filter(F.col("key").between(F.col("low"), F.col("high")))
+            rows.join(small(state).drop("n"), "name").filter(F.col("key").between(F.col("low"), F.col("high")))
             .groupBy("name", "rest", "below", place.alias("slice"))
             .agg(F.sum("size").alias("words"), F.min("key").alias("low"), F.max("key").alias("high"))
         )
         to_here = F.sum("words").over(Window.partitionBy("name").orderBy("slice")) + F.col("below")
         reached = sums.withColumn("to_here", to_here).withColumn("last", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("slice"))) == 1)
         first = F.row_number().over(Window.partitionBy("name").orderBy("slice")) == 1
-        state = (
+        state = stored(
             reached.filter((F.col("to_here") >= F.col("rest")) | F.col("last")).withColumn("first", first).filter("first")
-            .select("name", "rest", (F.col("to_here") - F.col("words")).alias("below"), "low", "high")
+            .select("name", "rest", (F.col("to_here") - F.col("words")).alias("below"), "low", "high"),
+            "mix-slice",
         )
-    inside = rows.join(state.drop("n"), "name").filter(F.col("key").between(F.col("low"), F.col("high")))
+    inside = rows.join(small(state).drop("n"), "name").filter(F.col("key").between(F.col("low"), F.col("high")))
     peers = inside.groupBy("name", "rest", "below", "low", "key", "doc_id").agg(F.sum("size").alias("size"))
     order = Window.partitionBy("name").orderBy("key", "doc_id")
     middle = F.col("below") + F.sum("size").over(order) - F.col("size") / 2
@@ -123,7 +124,7 @@ def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, seed: int = 1)
     """All documents and their columns, with mix_size, mix_source_size, mix_target and mix_copies (how often the mix takes it)."""
     rows = sized(docs.select("doc_id", "source", "text"), seed)
     narrow = stored(rows.select("doc_id", "source", F.col("__mix_source").alias("name"), F.col("__mix_size").alias("size"), F.col("__mix_key").alias("key")), "mix-rows")
-    cut = cuts(narrow, share, most).select(F.col("name").alias("__mix_source"), "source_size", "target", "epochs", "low", "last")
+    cut = small(cuts(narrow, share, most)).select(F.col("name").alias("__mix_source"), "source_size", "target", "epochs", "low", "last")
     cut = cut.select("__mix_source", F.struct("source_size", "target", "epochs", "low", "last").alias("__mix_cut"))
     joined = sized(docs, seed).join(cut, "__mix_source")
     key = F.col("__mix_key")

@@ -22,6 +22,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = 1 << 16) -> DataFrame:
+    """A stored table with a broadcast hint if it has few rows; beyond that the planner joins as it sees fit."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def drop(*frames: DataFrame) -> None:
     """Deletes tables that `stored` made and that nothing reads any more."""
     for df in frames:

@@ -382,3 +382,39 @@ def score_events(spark, sf_dir):
         "predictions.values.bull_sentiment", "predictions.values.vader_sentiment",
         "predictions.values.bull_vader_sentiment",
     )
+
+
+@query(
+    "classifier_facts",
+    """WITH l AS (SELECT doc_id, quality AS labels FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || doc_id)) AS rn, count(*) OVER () AS m FROM l)
+SELECT doc_id, labels, true AS sums_to_one, true AS within_bounds, true AS is_largest FROM r WHERE rn > floor(0.75 * m)""",
+)
+def classifier_facts(spark, sf_dir):
+    """What holds for the class probabilities of every test row, whatever was learnt."""
+    bear, bull = F.col("bear"), F.col("bull")
+    return classifier_probs(spark, sf_dir).select(
+        "doc_id", "labels",
+        (F.abs(bear + bull - 1) < 1e-9).alias("sums_to_one"),
+        (bear.between(0, 1) & bull.between(0, 1)).alias("within_bounds"),
+        ((F.col("prediction") == 1) == (bull > bear)).alias("is_largest"),
+    )
+
+
+@query(
+    "score_events_facts",
+    f"""WITH {t.TURNS}
+SELECT msgType || '-sentiment-response' AS msgType, post_id AS id,
+  CASE WHEN msgType = 'stocktwit' THEN 'stocktwits' ELSE 'twitter' END AS model,
+  true AS sums_to_one, true AS within_bounds, true AS blended
+FROM turns WHERE msgType IN ('stocktwit', 'twitter-user', 'twitter-topic')""",
+)
+def score_events_facts(spark, sf_dir):
+    """Routing, model and the relations between the scores of every scored turn."""
+    bear, bull, vader = F.col("bear_sentiment"), F.col("bull_sentiment"), F.col("vader_sentiment")
+    return score_events(spark, sf_dir).select(
+        "msgType", "id", "model",
+        (F.abs(bear + bull - 1) < 1e-9).alias("sums_to_one"),
+        (bear.between(0, 1) & bull.between(0, 1) & vader.between(0, 1)).alias("within_bounds"),
+        (F.abs(F.col("bull_vader_sentiment") - 0.8 * bull - 0.2 * vader) < 1e-9).alias("blended"),
+    )

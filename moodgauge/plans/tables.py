@@ -149,8 +149,14 @@ a AS (SELECT c_custkey AS id, c_name AS name, 'user' || c_custkey AS screen_name
 
 
 def texts(spark, sf_dir) -> DataFrame:
-    """(doc_id, text)"""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """(doc_id, text)
+
+    With the session's setting `moodgauge.scanPartitions` the scan is dealt to so many tasks, for a few small files before heavy
+    per-row work; it is off unless set.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    wanted = spark.conf.get("moodgauge.scanPartitions", None)
+    return docs.repartition(int(wanted), "doc_id") if wanted else docs
 
 
 def documents(spark, sf_dir) -> DataFrame:

@@ -29,9 +29,9 @@ from moodgauge.llm import text as tx
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
-BUFFER_TOKENS = 1 << 20
+BUFFER_TOKENS = 1 << 19
 GROUP_TOKENS = 32 * 2048
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 
 # bytes of ASCII letters; of words of letters up to U+024F; and signs that end a word of letters for the tokenizer.
 # An apostrophe may begin a part of its own, and a bar belongs to the names of special tokens, so neither is a sign here.

@@ -3,13 +3,15 @@
 Two bigram models of one kind, over one vocabulary: a target model of good documents and a background model of all documents.
 A document's score is the mean over its tokens of (loss under the target - loss under the background); lower is nearer the target.
 
-Counts are taken over all documents. Each task sums its own before the shuffle, so a word or pair of any frequency costs one
-row per task. The vocabulary holds the words with at least `rarest` of all tokens, and both models the pairs with at least `rarest` of
-all tokens or of the target's; the rest is <unk>, or left to the unigrams. These shares make the models' sizes bounded (1 / rarest words and
-2 / rarest pairs), so they are broadcast, and the same at every size of the corpus. Losses are interpolated: a discounted pair plus the
-mass left for its first word times the smoothed unigram.
+Counts are taken over all documents, and the target's over all that are labelled good and not held out. The vocabulary holds the words
+found twice or more, both models the pairs found twice or more; the rest is <unk>, or left to the unigrams. So the models grow with the
+corpus, and a word or pair is kept by its own count at every size of it. Losses are interpolated: a discounted pair plus the mass left
+for its first word times the smoothed unigram.
 
-The target's documents are a sample of at most `per_class` labelled rows.
+The models are tables. Texts are read once, as numbers of the distinct words of their chunk. Each chunk's distinct words are joined with
+the vocabulary, and later its distinct words and pairs with the models; what is found goes back to the chunk, a bounded group of
+texts. So a word or pair of any frequency costs one row per chunk. Pairs that are in no model are told by a bitmap of fixed size
+before that join, which may let more through but never fewer.
 
 Defined cases: a null or empty text has no token and the losses and the score 0; without target rows the target model is the
 smoothed vocabulary alone; rows that repeat count each; further columns are ignored; an empty table gives an empty result.
@@ -18,46 +20,34 @@ smoothed vocabulary alone; rows that repeat count each; further columns are igno
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
-from moodgauge.llm.labelled import label_sample
-from moodgauge.llm.tables import stored
+from moodgauge.llm.labelled import label_rows
+from moodgauge.llm.suffixes import among, bitmap, free, numbered
+from moodgauge.llm.tables import drop, small, stored
 
-RAREST = 2.0**-20
+RAREST = 0.0  # share of all tokens that a word or pair must have besides its count
+LEAST = 2.0
 DISCOUNT = 0.75
 SMOOTHING = 0.5
-HELD_KEYS = 4 << 20
+HELD_KEYS = 2 << 20
+CHUNK_BYTES = 4 << 20
+TEXT_ROWS = 1024
+BROADCAST_IDS = 1 << 20
 SHIFT = np.uint64(32)
+TEXTS = "part long, doc_id long, is_target boolean, tokens binary"
+WORDS = "key long, at int, n long, target long"
+LOSSES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
-@dataclass
-class Model:
-    """Of both models: log-probabilities of words (last: <unk>) and of the kept pairs, and the log of each word's mass for other pairs."""
-
-    words: np.ndarray  # hashes, ascending; a word's id is its place
-    pairs: np.ndarray  # first id << 32 | second id, ascending
-    word_loss: np.ndarray  # 2 x (words + 1)
-    pair_loss: np.ndarray  # 2 x pairs
-    back_off: np.ndarray  # 2 x (words + 1)
-
-    def losses(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Loss of each token under the target and the background, 2 x tokens; a text's first token has no pair."""
-        out = self.word_loss[:, ids]
-        places, _ = tx.whole_windows(counts, 2)
-        keys = ids[places].astype(np.uint64) << SHIFT | ids[places + 1].astype(np.uint64)
-        spot = np.searchsorted(self.pairs, keys)
-        kept = spot < len(self.pairs)
-        kept[kept] = self.pairs[spot[kept]] == keys[kept]
-        second = out[:, places + 1] + self.back_off[:, ids[places]]
-        second[:, kept] = self.pair_loss[:, spot[kept]]
-        out[:, places + 1] = second
-        return out
+def names_of(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,13 +57,21 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return tx.span_hash(tx.sums(lowered), begin, end), np.diff(at)
 
 
-def word_ids(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The place of each hash in the vocabulary; its length for <unk>."""
-    own, back = np.unique(hashes, return_inverse=True)
-    spot = np.searchsorted(words, own)
-    known = spot < len(words)
-    known[known] = words[spot[known]] == own[known]
-    return np.where(known, spot, len(words))[back]
+def listed(tokens: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The numbers of each text as a binary value."""
+    ends = np.append(0, np.cumsum(counts)).astype(np.int32) * 4
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(tokens.astype(np.uint32))])
+
+
+def unlisted(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    held = column.to_pylist()
+    return np.frombuffer(b"".join(held), np.uint32).astype(np.int64), np.array([len(x) // 4 for x in held], np.int64)
+
+
+def pair_keys(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pairs begin, and their keys: first id << 32 | second id."""
+    places, _ = tx.whole_windows(counts, 2)
+    return places, tokens[places].astype(np.uint64) << SHIFT | tokens[places + 1].astype(np.uint64)
 
 
 class Counts:
@@ -96,76 +94,157 @@ class Counts:
         return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), *map(pa.array, sums)], ["key", "n", "target"])
 
 
-def counted(docs: DataFrame, words: np.ndarray | None = None) -> DataFrame:
-    """(key, n, target): counts of words by hash or, with a vocabulary, of pairs of ids. docs: text, is_target."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def in_chunks(docs: DataFrame) -> DataFrame:
+    """A row per text, with the places of its words in its chunk's list, and a row per word of that list. docs: doc_id, text, is_target."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, vocabulary = Counts(), shared.value
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, part = names_of(f"{TEXTS}, {WORDS}"), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for rows, data, offsets in tx.chunks(batch, "text"):
+            for rows, data, offsets in tx.chunks(batch, "text", CHUNK_BYTES):
                 hashes, counts = hashed_words(data, offsets)
+                own, back, n = np.unique(hashes, return_inverse=True, return_counts=True)
                 in_target = np.repeat(rows.column("is_target").to_numpy(zero_copy_only=False), counts)
-                if vocabulary is not None:
-                    ids = word_ids(vocabulary, hashes).astype(np.uint64)
-                    places, _ = tx.whole_windows(counts, 2)
-                    hashes, in_target = ids[places] << SHIFT | ids[places + 1], in_target[places]
-                own.add(hashes, in_target)
+                of_texts = [pa.array(np.full(len(counts), part)), rows.column("doc_id").cast(pa.int64()), rows.column("is_target"), listed(back, counts)]
+                of_words = [pa.array(own.view(np.int64)), pa.array(np.arange(len(own), dtype=np.int32)), pa.array(n), pa.array(np.bincount(back, in_target, len(own)).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(of_texts + [pa.nulls(len(counts), c.type) for c in of_words], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part)), *(pa.nulls(len(own), c.type) for c in of_texts[1:]), *of_words], names)
+                part += 1
+
+    return docs.select("doc_id", "text", "is_target").mapInArrow(tx.tidy(give), f"{TEXTS}, {WORDS}")
+
+
+def with_ids(texts: DataFrame, words: DataFrame, unknown: int) -> DataFrame:
+    """The texts with the ids of the vocabulary for places in a list; `unknown` for words it does not have."""
+    known = texts.filter("key is not null").select("part", "at", "key").join(words.select("key", "id"), "key").select(F.col("part").alias("chunk"), "at", "id")
+
+    def change(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, counts = unlisted(left["tokens"])
+        ids = np.full(at.max(initial=-1) + 1, unknown, np.int64)
+        ids[right["at"].to_numpy()] = right["id"].to_numpy()
+        out = pa.Table.from_arrays([left["part"], left["doc_id"], left["is_target"], listed(ids[at], counts)], names_of(TEXTS))
+        tx.give_back()
+        return out
+
+    rows = texts.filter("tokens is not null").select(*names_of(TEXTS))
+    return rows.groupBy("part").cogroup(known.groupBy("chunk")).applyInArrow(change, TEXTS)
+
+
+def counted_pairs(texts: DataFrame) -> DataFrame:
+    """(key, n, target): how often each pair of ids is found. Each task sums its own before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Counts()
+        for batch in batches:
+            for begin in range(0, batch.num_rows, TEXT_ROWS):
+                rows = batch.slice(begin, TEXT_ROWS)
+                tokens, counts = unlisted(rows.column("tokens"))
+                places, keys = pair_keys(tokens, counts)
+                own.add(keys, np.repeat(rows.column("is_target").to_numpy(zero_copy_only=False), counts)[places])
                 if own.held > HELD_KEYS:
                     yield own.take()
         if own.held:
             yield own.take()
 
-    sums = docs.select("text", "is_target").mapInArrow(tx.tidy(count), "key long, n long, target long")
+    sums = texts.select("is_target", "tokens").mapInArrow(tx.tidy(count), "key long, n long, target long")
     return sums.groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
-def gathered(counts: DataFrame, at_least) -> tuple[np.ndarray, np.ndarray]:
-    """The keys that reach a share of all tokens, ascending, and their counts as 2 rows: target, all. Bounded by the share."""
-    held = counts.filter(at_least).toArrow()
-    keys = held["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.stack((held["target"].to_numpy(), held["n"].to_numpy())).astype(np.float64)[:, order]
-
-
-def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = 50_000, rarest: float = RAREST) -> Model:
-    """Both models over all documents."""
-    chosen = label_sample(labels, column, per_class).filter("label = 1").select("doc_id", F.lit(True).alias("is_target"))
-    marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    words = stored(counted(marked), "word-counts")
-    n, target = words.agg(F.sum("n"), F.sum("target")).first()
-    total = np.array([[target or 0], [n or 0]], np.float64)
-    vocabulary, of_words = gathered(words, F.col("n") >= max(2.0, rarest * total[1, 0]))
-    pairs = counted(marked, vocabulary)
-    kept, of_pairs = gathered(pairs, (F.col("n") >= max(2.0, rarest * total[1, 0])) | (F.col("target") >= max(2.0, rarest * total[0, 0])))
-    of_words = np.hstack((of_words, total - of_words.sum(1, keepdims=True)))  # <unk> stands for all others
-    chance = (of_words + SMOOTHING) / (total + SMOOTHING * of_words.shape[1])
-    first, second = (kept >> SHIFT).astype(np.int64), (kept & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    begun = np.maximum(of_words[:, first], 1)
-    share = np.maximum(of_pairs - DISCOUNT, 0) / begun
-    used = np.stack([np.bincount(first, row, of_words.shape[1]) for row in share])
-    mass = np.clip(1 - used, 1e-6, 1)
-    pair = share + mass[:, first] * chance[:, second]
-    return Model(vocabulary, kept, -np.log(chance), -np.log(pair), -np.log(mass))
-
-
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss and their difference, each the mean over tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def mixed(pairs: DataFrame) -> DataFrame:
+    """(hash) of the keys, as a bitmap tells them."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in tx.chunks(batch, "text"):
-                hashes, counts = hashed_words(data, offsets)
-                losses = own.losses(word_ids(own.words, hashes), counts)
-                text = np.repeat(np.arange(len(counts)), counts)
-                mean = [np.bincount(text, row, len(counts)) / np.maximum(counts, 1) for row in losses]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id").cast(pa.int64()), pa.array(counts), *map(pa.array, mean), pa.array(mean[0] - mean[1])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.mix(batch.column("key").to_numpy().view(np.uint64)).view(np.int64))], ["hash"])
+
+    return pairs.select("key").mapInArrow(tx.tidy(mix), "hash long")
+
+
+def wanted(texts: DataFrame, held: np.ndarray) -> DataFrame:
+    """(part, key) of the words (-1 - id) and pairs of each chunk, without pairs the bitmap does not have."""
+    shared = texts.sparkSession.sparkContext.broadcast(held)
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            for part in np.unique(parts):
+                tokens, counts = unlisted(batch.column("tokens").filter(pa.array(parts == part)))
+                pairs = np.unique(pair_keys(tokens, counts)[1])
+                pairs = pairs[among(shared.value, tx.mix(pairs))]
+                keys = np.concatenate((-1 - np.unique(tokens), pairs.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part)), pa.array(keys)], ["part", "key"])
+
+    return texts.select("part", "tokens").mapInArrow(tx.tidy(give), "part long, key long")
+
+
+def losses(tokens: np.ndarray, counts: np.ndarray, keys: np.ndarray, found: np.ndarray, used: np.ndarray, total: np.ndarray, room: int) -> np.ndarray:
+    """Loss of each token under the target and the background, 2 x tokens; a text's first token has no pair.
+
+    keys: those of the chunk's words and kept pairs, ascending; found: their counts, 2 x keys; used: for words, the discounted sums of
+    their kept pairs, 2 x keys; total: all tokens of both models, 2 x 1; room: the words and <unk>.
+    """
+    own, back = np.unique(tokens, return_inverse=True)
+    at = np.searchsorted(keys, -1 - own)
+    chance = (found[:, at] + SMOOTHING) / (total + SMOOTHING * room)
+    begun = np.maximum(found[:, at], 1)
+    mass = np.clip(1 - used[:, at] / begun, 1e-6, 1)
+    out = -np.log(chance)[:, back]
+    places, pairs = pair_keys(tokens, counts)
+    pairs = pairs.view(np.int64)
+    spot = np.searchsorted(keys, pairs)
+    kept = spot < len(keys)
+    kept[kept] = keys[spot[kept]] == pairs[kept]
+    first, second = back[places], back[places + 1]
+    loss = out[:, places + 1] - np.log(mass)[:, first]
+    spot, first, second = spot[kept], first[kept], second[kept]
+    loss[:, kept] = -np.log(np.maximum(found[:, spot] - DISCOUNT, 0) / begun[:, first] + mass[:, first] * chance[:, second])
+    out[:, places + 1] = loss
+    return out
+
+
+def scored(texts: DataFrame, looked_up: DataFrame, total: np.ndarray, room: int) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss and their difference, each the mean over tokens."""
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens, counts = unlisted(left["tokens"])
+        keys = right["key"].to_numpy()
+        order = np.argsort(keys, kind="stable")
+        found, used = (np.stack([right[c].to_numpy()[order] for c in pair]).astype(np.float64) for pair in (("target", "n"), ("target_used", "n_used")))
+        text = np.repeat(np.arange(len(counts)), counts)
+        mean = [np.bincount(text, row, len(counts)) / np.maximum(counts, 1) for row in losses(tokens, counts, keys[order], found, used, total, room)]
+        out = pa.Table.from_arrays([left["doc_id"], pa.array(counts), *map(pa.array, mean), pa.array(mean[0] - mean[1])], names_of(LOSSES))
+        tx.give_back()
+        return out
 
-    return docs.select("doc_id", "text").mapInArrow(tx.tidy(score), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    return texts.groupBy("part").cogroup(looked_up.groupBy("chunk")).applyInArrow(score, LOSSES)
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "quality", rarest: float = RAREST) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for every document."""
-    return scored(docs, fit(docs, labels, **options))
+    good = label_rows(labels, column).filter("label = 1").select("doc_id", F.lit(True).alias("is_target"))
+    marked = docs.select("doc_id", "text").join(small(good, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    read = stored(in_chunks(marked), "chunks")
+    every = stored(read.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target")), "word-counts")
+    n, target = (x or 0 for x in every.agg(F.sum("n"), F.sum("target")).first())
+    least, least_target = max(LEAST, rarest * n), max(LEAST, rarest * target)
+
+    row = F.monotonically_increasing_id()
+    chosen = stored(every.filter(F.col("n") >= least).withColumn("row", row), "vocabulary")
+    part, local = F.shiftright("row", 33).cast("int").alias("part"), F.col("row").bitwiseAND(F.lit((1 << 33) - 1)).alias("local")
+    # the first row of a partition is 0, so ids count from 0 with the place after the last of the partition before
+    words = stored(numbered(chosen.select("key", "n", "target", part, (local + 1).alias("local")), "local", "id").withColumn("id", F.col("id") - 1), "words")
+    size, of_words, of_target = words.agg(F.count("*"), F.sum("n"), F.sum("target")).first()
+    texts = stored(with_ids(read, words, size), "texts")
+    drop(read, every, chosen)
+    free(docs)
+
+    pairs = stored(counted_pairs(texts).filter((F.col("n") >= least) | (F.col("target") >= least_target)), "pairs")
+    free(docs)
+    rest = docs.sparkSession.createDataFrame([(n - (of_words or 0), target - (of_target or 0), size)], "n long, target long, id long")  # <unk> stands for all others
+    beyond = [F.sum(F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0))).alias(f"{c}_used") for c in ("n", "target")]
+    used = pairs.groupBy(F.shiftright("key", 32).alias("id")).agg(*beyond)
+    of_words = words.select("n", "target", "id").unionByName(rest).join(used, "id", "left").select((-1 - F.col("id")).alias("key"), "n", "target", F.coalesce("n_used", F.lit(0.0)).alias("n_used"), F.coalesce("target_used", F.lit(0.0)).alias("target_used"))
+    models = stored(of_words.unionByName(pairs.select("key", "n", "target", F.lit(0.0).alias("n_used"), F.lit(0.0).alias("target_used"))), "models")
+    looked_up = wanted(texts, bitmap(mixed(pairs))).join(models, "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
+    drop(words, pairs)
+    free(docs)
+    return scored(texts, looked_up, np.array([[target], [n]], np.float64), size + 1)

@@ -134,6 +134,13 @@ def whole_windows(counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return places, run[places]
 
 
+def give_back() -> None:
+    """Gives memory that a worker does not use back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The same work; when a task is over, its worker gives unused memory back, as the next task may be another operator's."""
 
@@ -141,8 +148,6 @@ def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
         try:
             yield from work(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            give_back()
 
     return run

@@ -102,6 +102,22 @@ def test_good_documents_score_lower(spark):
     assert np.median(of[1]) < np.median(of[0])
 
 
+def test_models_follow_the_input(spark):
+    """Words and pairs found twice count in a large table too, and so does every good document."""
+    rng = np.random.default_rng(10)
+    common = rng.choice([f"w{k}" for k in range(40)], (66_000, 34))
+    texts = [" ".join([*row, f"rare{k // 2}", f"other{k // 2}"]) for k, row in enumerate(common)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.range(len(texts)).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, 0).otherwise(1).alias("quality"))
+    chosen = {r.doc_id for r in labels.filter("quality = 1").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).collect()}
+    assert len(chosen) > 50_000 and len(texts) * 36 > 2 * 2**20
+    want = plain_losses(texts, [k in chosen for k in range(len(texts))], 0)
+    got = cross_entropy.cross_entropy_difference(docs, labels).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    ids = [r.doc_id for r in got]
+    assert np.allclose([(r.target_loss, r.background_loss) for r in got], np.array(want).T[ids])
+
+
 # language
 
 

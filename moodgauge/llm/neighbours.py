@@ -102,14 +102,14 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
             for rows, data, offsets in tx.chunks(batch, "text", most_rows=BLOCK_ROWS):
                 counts = term_counts(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id").cast(pa.int64()), rows.column("label").cast(pa.int32()), pa.array([x.astype(np.float16).tobytes() for x in counts], pa.binary())], ["doc_id", "label", "terms"]
+                    [rows.column("doc_id").cast(pa.int64()), rows.column("label").cast(pa.int32()), pa.array([x.tobytes() for x in counts], pa.binary())], ["doc_id", "label", "terms"]
                 )
 
     sample = labelled_texts(docs, labels, column, per_class).mapInArrow(tx.tidy(vectors), "doc_id long, label int, terms binary")
     held = sample.toArrow().sort_by([("doc_id", "ascending"), ("terms", "ascending")])
     if held.num_rows == 0:
         return None
-    counts = np.frombuffer(b"".join(held["terms"].to_pylist()), np.float16).reshape(held.num_rows, TERMS).astype(np.float32)
+    counts = np.frombuffer(b"".join(held["terms"].to_pylist()), np.float32).reshape(held.num_rows, TERMS)
     weights = np.log((len(counts) + 1) / ((counts > 0).sum(0) + 1)).astype(np.float32) + 0.1
     rows = weighted(counts, weights)
     rank = min(rank, len(rows), TERMS)

@@ -320,6 +320,15 @@ def test_classifiers_on_edges(spark, edges, empty, query):
     assert query(empty, some).collect() == []
 
 
+def test_labelled_text_of_many_equal_shapes(spark):
+    """Counts beyond 65,504 are learnt from as they are."""
+    docs = docs_of(spark, [(1, "word " * 70_001, "s1"), (2, "A1 b2, c3", "s1"), (3, "word " * 9, "s1"), (7, "(x) [y]", "s1")])
+    got = {r.doc_id: r.score for r in neighbours.quality(docs, labels_of(spark, [(1, 1, 0), (2, 0, 0), (3, 1, 0), (7, 0, 0)])).collect()}
+    assert len(got) == 4 and all(0 <= x <= 1 for x in got.values())
+    vector = neighbours.fit(docs, labels_of(spark, [(1, 1, 0), (3, 1, 0), (7, 0, 0)])).vectors
+    assert np.isfinite(vector).all()
+
+
 def test_misspelt_words_share_vectors():
     rng = np.random.default_rng(1)
     plain = [bytes(rng.integers(97, 123, int(rng.integers(3, 9))).astype(np.uint8)) for _ in range(400)]

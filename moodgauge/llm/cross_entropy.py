@@ -10,8 +10,9 @@ for its first word times the smoothed unigram.
 
 The models are tables. Texts are read once, as numbers of the distinct words of their chunk. Each chunk's distinct words are joined with
 the vocabulary, and later its distinct words and pairs with the models; what is found goes back to the chunk, a bounded group of
-texts. So a word or pair of any frequency costs one row per chunk. Pairs that are in no model are told by a bitmap of fixed size
-before that join, which may let more through but never fewer.
+texts. So a word or pair of any frequency costs one row per chunk. The most frequent entries of the models, of a fixed number, are
+broadcast and need no row; pairs that are in no model are told by a bitmap of fixed size before the join, which may let more through
+but never fewer.
 
 Defined cases: a null or empty text has no token and the losses and the score 0; without target rows the target model is the
 smoothed vocabulary alone; rows that repeat count each; further columns are ignored; an empty table gives an empty result.
@@ -36,10 +37,13 @@ RAREST = 0.0  # share of all tokens that a word or pair must have besides its co
 LEAST = 2.0
 DISCOUNT = 0.75
 SMOOTHING = 0.5
-HELD_KEYS = 2 << 20
+HELD_KEYS = 1 << 20
 CHUNK_BYTES = 4 << 20
-TEXT_ROWS = 1024
+TEXT_ROWS = 512
 BROADCAST_IDS = 1 << 20
+# the most frequent words and pairs of the models, at most so many, are broadcast; all others are joined
+HEAD_KEYS = 1 << 19
+MOST_COUNT = 1 << 16
 SHIFT = np.uint64(32)
 TEXTS = "part long, doc_id long, is_target boolean, tokens binary"
 WORDS = "key long, at int, n long, target long"
@@ -142,6 +146,7 @@ def counted_pairs(texts: DataFrame) -> DataFrame:
                 own.add(keys, np.repeat(rows.column("is_target").to_numpy(zero_copy_only=False), counts)[places])
                 if own.held > HELD_KEYS:
                     yield own.take()
+                    tx.give_back()
         if own.held:
             yield own.take()
 
@@ -159,58 +164,93 @@ def mixed(pairs: DataFrame) -> DataFrame:
     return pairs.select("key").mapInArrow(tx.tidy(mix), "hash long")
 
 
-def wanted(texts: DataFrame, held: np.ndarray) -> DataFrame:
-    """(part, key) of the words (-1 - id) and pairs of each chunk, without pairs the bitmap does not have."""
-    shared = texts.sparkSession.sparkContext.broadcast(held)
+def frequent(models: DataFrame) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+    """The count from which at most HEAD_KEYS entries of the models are, and these: keys, ascending, and their four columns."""
+    sizes = sorted(models.groupBy(F.least("n", F.lit(MOST_COUNT))).count().collect(), reverse=True)  # at most MOST_COUNT + 1 rows
+    cut, held = MOST_COUNT + 1, 0
+    for n, count in sizes:
+        held += count
+        if held > HEAD_KEYS:
+            break
+        cut = n
+    return cut, by_key((models.filter(F.col("n") >= cut) if cut <= MOST_COUNT else models.limit(0)).toArrow())
+
+
+def by_key(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys = rows["key"].to_numpy()
+    order = np.argsort(keys, kind="stable")
+    return keys[order], np.stack([rows[c].to_numpy()[order] for c in ("target", "n", "target_used", "n_used")]).astype(np.float64)
+
+
+def found_in(held: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are among the held ones, and the places of these."""
+    spot = np.searchsorted(held, keys)
+    known = spot < len(held)
+    known[known] = held[spot[known]] == keys[known]
+    return known, spot[known]
+
+
+def values(tables: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The four columns of each key in one of the tables, and whether it is in any."""
+    out, any_known = np.zeros((4, len(keys))), np.zeros(len(keys), bool)
+    for held, columns in tables:
+        known, spot = found_in(held, keys)
+        out[:, known] = columns[:, spot]
+        any_known |= known
+    return out, any_known
+
+
+def wanted(texts: DataFrame, held: np.ndarray, head: np.ndarray) -> DataFrame:
+    """(part, key) of the words (-1 - id) and pairs of each chunk, without those of the head and pairs the bitmap does not have."""
+    shared = texts.sparkSession.sparkContext.broadcast((held, head))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, head = shared.value
         for batch in batches:
             parts = batch.column("part").to_numpy()
             for part in np.unique(parts):
                 tokens, counts = unlisted(batch.column("tokens").filter(pa.array(parts == part)))
                 pairs = np.unique(pair_keys(tokens, counts)[1])
-                pairs = pairs[among(shared.value, tx.mix(pairs))]
+                pairs = pairs[among(held, tx.mix(pairs))]
                 keys = np.concatenate((-1 - np.unique(tokens), pairs.view(np.int64)))
+                keys = keys[~found_in(head, keys)[0]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part)), pa.array(keys)], ["part", "key"])
 
     return texts.select("part", "tokens").mapInArrow(tx.tidy(give), "part long, key long")
 
 
-def losses(tokens: np.ndarray, counts: np.ndarray, keys: np.ndarray, found: np.ndarray, used: np.ndarray, total: np.ndarray, room: int) -> np.ndarray:
+def losses(tokens: np.ndarray, counts: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], total: np.ndarray, room: int) -> np.ndarray:
     """Loss of each token under the target and the background, 2 x tokens; a text's first token has no pair.
 
-    keys: those of the chunk's words and kept pairs, ascending; found: their counts, 2 x keys; used: for words, the discounted sums of
-    their kept pairs, 2 x keys; total: all tokens of both models, 2 x 1; room: the words and <unk>.
+    tables: counts in both models of the chunk's words and kept pairs and, for words, the discounted sums of their kept pairs; total: all
+    tokens of both models, 2 x 1; room: the words and <unk>.
     """
     own, back = np.unique(tokens, return_inverse=True)
-    at = np.searchsorted(keys, -1 - own)
-    chance = (found[:, at] + SMOOTHING) / (total + SMOOTHING * room)
-    begun = np.maximum(found[:, at], 1)
-    mass = np.clip(1 - used[:, at] / begun, 1e-6, 1)
+    of_words, _ = values(tables, -1 - own)
+    chance = (of_words[:2] + SMOOTHING) / (total + SMOOTHING * room)
+    begun = np.maximum(of_words[:2], 1)
+    mass = np.clip(1 - of_words[2:] / begun, 1e-6, 1)
     out = -np.log(chance)[:, back]
-    places, pairs = pair_keys(tokens, counts)
-    pairs = pairs.view(np.int64)
-    spot = np.searchsorted(keys, pairs)
-    kept = spot < len(keys)
-    kept[kept] = keys[spot[kept]] == pairs[kept]
-    first, second = back[places], back[places + 1]
-    loss = out[:, places + 1] - np.log(mass)[:, first]
-    spot, first, second = spot[kept], first[kept], second[kept]
-    loss[:, kept] = -np.log(np.maximum(found[:, spot] - DISCOUNT, 0) / begun[:, first] + mass[:, first] * chance[:, second])
-    out[:, places + 1] = loss
+    places, keys = pair_keys(tokens, counts)
+    pairs, of = np.unique(keys, return_inverse=True)
+    of_pairs, kept = values(tables, pairs.view(np.int64))
+    first, second = (found_in(own, x.astype(np.int64))[1] for x in (pairs >> SHIFT, pairs & np.uint64(0xFFFFFFFF)))
+    loss = -np.log(mass[:, first]) - np.log(chance[:, second])
+    first, second = first[kept], second[kept]
+    loss[:, kept] = -np.log(np.maximum(of_pairs[:2, kept] - DISCOUNT, 0) / begun[:, first] + mass[:, first] * chance[:, second])
+    out[:, places + 1] = loss[:, of]
     return out
 
 
-def scored(texts: DataFrame, looked_up: DataFrame, total: np.ndarray, room: int) -> DataFrame:
+def scored(texts: DataFrame, looked_up: DataFrame, head: tuple[np.ndarray, np.ndarray], total: np.ndarray, room: int) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and their difference, each the mean over tokens."""
 
+    shared = texts.sparkSession.sparkContext.broadcast(head)
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         tokens, counts = unlisted(left["tokens"])
-        keys = right["key"].to_numpy()
-        order = np.argsort(keys, kind="stable")
-        found, used = (np.stack([right[c].to_numpy()[order] for c in pair]).astype(np.float64) for pair in (("target", "n"), ("target_used", "n_used")))
         text = np.repeat(np.arange(len(counts)), counts)
-        mean = [np.bincount(text, row, len(counts)) / np.maximum(counts, 1) for row in losses(tokens, counts, keys[order], found, used, total, room)]
+        mean = [np.bincount(text, row, len(counts)) / np.maximum(counts, 1) for row in losses(tokens, counts, [shared.value, by_key(right)], total, room)]
         out = pa.Table.from_arrays([left["doc_id"], pa.array(counts), *map(pa.array, mean), pa.array(mean[0] - mean[1])], names_of(LOSSES))
         tx.give_back()
         return out
@@ -222,7 +262,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     """doc_id, n_tokens, target_loss, background_loss, score for every document."""
     good = label_rows(labels, column).filter("label = 1").select("doc_id", F.lit(True).alias("is_target"))
     marked = docs.select("doc_id", "text").join(small(good, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    read = stored(in_chunks(marked), "chunks")
+    read = stored(in_chunks(marked), "chunks", compression="zstd")
     every = stored(read.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target")), "word-counts")
     n, target = (x or 0 for x in every.agg(F.sum("n"), F.sum("target")).first())
     least, least_target = max(LEAST, rarest * n), max(LEAST, rarest * target)
@@ -233,7 +273,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     # the first row of a partition is 0, so ids count from 0 with the place after the last of the partition before
     words = stored(numbered(chosen.select("key", "n", "target", part, (local + 1).alias("local")), "local", "id").withColumn("id", F.col("id") - 1), "words")
     size, of_words, of_target = words.agg(F.count("*"), F.sum("n"), F.sum("target")).first()
-    texts = stored(with_ids(read, words, size), "texts")
+    texts = stored(with_ids(read, words, size), "texts", compression="zstd")
     drop(read, every, chosen)
     free(docs)
 
@@ -244,7 +284,9 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     used = pairs.groupBy(F.shiftright("key", 32).alias("id")).agg(*beyond)
     of_words = words.select("n", "target", "id").unionByName(rest).join(used, "id", "left").select((-1 - F.col("id")).alias("key"), "n", "target", F.coalesce("n_used", F.lit(0.0)).alias("n_used"), F.coalesce("target_used", F.lit(0.0)).alias("target_used"))
     models = stored(of_words.unionByName(pairs.select("key", "n", "target", F.lit(0.0).alias("n_used"), F.lit(0.0).alias("target_used"))), "models")
-    looked_up = wanted(texts, bitmap(mixed(pairs))).join(models, "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
+    cut, head = frequent(models)
+    rarer = F.col("n") < cut
+    looked_up = wanted(texts, bitmap(mixed(pairs.filter(rarer))), head[0]).join(models.filter(rarer), "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
     drop(words, pairs)
     free(docs)
-    return scored(texts, looked_up, np.array([[target], [n]], np.float64), size + 1)
+    return scored(texts, looked_up, head, np.array([[target], [n]], np.float64), size + 1)

@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """The frame written to the shared folder and read again: later steps neither recompute it nor depend on an executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -102,6 +102,12 @@ def test_good_documents_score_lower(spark):
     assert np.median(of[1]) < np.median(of[0])
 
 
+@pytest.mark.parametrize("head", [0, 40])
+def test_rarer_entries_are_joined(spark, monkeypatch, head):
+    monkeypatch.setattr(cross_entropy, "HEAD_KEYS", head)
+    test_cross_entropy(spark, cross_entropy.RAREST)
+
+
 def test_models_follow_the_input(spark):
     """Words and pairs found twice count in a large table too, and so does every good document."""
     rng = np.random.default_rng(10)

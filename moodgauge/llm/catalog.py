@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodgauge.llm import alignment, cross_entropy, exact, jaccard, language, mixing, neighbours, packing, rules, simhash, subwords, suffixes
+from moodgauge.llm import alignment, cross_entropy, exact, jaccard, language, mixing, neighbours, packing, ranked, rules, simhash, subwords, suffixes
 from moodgauge.llm.tables import table
 
 
@@ -58,13 +58,17 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_neighbour_quality, op2_suffix_dedup, op3_cross_entropy, op4_source_mix, op5_jaccard_join, op6_subword_toxicity,
         op7_tiered_packing, op8_tree_rules, op9_exact_dedup, op10_language, op11_simhash_links,
-        op12_token_alignment,
+        op12_token_alignment, op13_ranked_search,
     )
 }
 
-SQL: dict[str, str] = {"op4_source_mix": mixing.SQL, "op9_exact_dedup": exact.SQL}
+SQL: dict[str, str] = {"op4_source_mix": mixing.SQL, "op9_exact_dedup": exact.SQL, "op13_ranked_search": ranked.SQL}

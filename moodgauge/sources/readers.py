@@ -8,6 +8,7 @@ from moodgauge import schemas
 from moodgauge.functions.moments import as_ms
 from moodgauge.functions.text import split_label_prefix
 from moodgauge.operators.filters import not_blank
+from moodgauge.sources.concatenated import read_records, records_of
 
 BAD_RECORD = "_corrupt"
 
@@ -17,16 +18,19 @@ def _with_bad_record(schema: T.StructType) -> T.StructType:
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT) -> DataFrame:
-    """JSON-lines events; a malformed line becomes a row with its text in `_corrupt`.
+    """Events of JSON files, several on a line or one over several lines; a malformed one becomes a row with its text in `_corrupt`.
 
-    Lines are read as text and parsed as a column, so that queries on `_corrupt` alone work as well.
+    Records are text first and parsed as a column, so that queries on `_corrupt` alone work as well.
     """
-    return parse_records(spark.read.text(path), schema=schema)
+    return parse_records(read_records(spark, path), schema=schema)
 
 
 def stream_events(spark: SparkSession, path: str, schema: T.StructType = schemas.EVENT,
                   files_per_trigger: int | None = None) -> DataFrame:
-    """The same as a stream over a folder; the trigger of the query replaces polling."""
+    """The same as a stream over a folder; the trigger of the query replaces polling.
+
+    A record must end on the line it begins on, else its parts are malformed; `concatenated.each_batch` reads those as well.
+    """
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -48,11 +52,18 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, starting="latest
 
 
 def parse_records(raw: DataFrame, value: str = "value", schema: T.StructType = schemas.EVENT) -> DataFrame:
-    """Text records to events: blank ones are skipped, malformed ones carry their text in `_corrupt`."""
+    """Text records to events: blank ones are skipped, malformed ones carry their text in `_corrupt`.
+
+    A text of several objects gives a row for each.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
-    parsed = F.from_json(F.col(value), _with_bad_record(schema), options).alias("_event")
-    rest = [c for c in raw.columns if c != value]
-    return raw.filter(not_blank(F.col(value))).select(*rest, parsed).select(*rest, "_event.*")
+    rest = [F.col(f"`{c}`") for c in raw.columns if c != value]
+    records = raw.filter(not_blank(F.col(value))).select(*rest, F.explode(records_of(F.col(value))).alias("_record"))
+    good = F.from_json(F.col("_record"), _with_bad_record(schema), options)
+    # the text of an event is one object
+    no_object = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], F.col("_record").alias(BAD_RECORD))
+    parsed = F.when(F.startswith(F.col("_record"), F.lit("{")), good).otherwise(no_object).alias("_event")
+    return records.select(*rest, parsed).select(*rest, "_event.*")
 
 
 def good_events(events: DataFrame) -> DataFrame:

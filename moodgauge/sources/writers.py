@@ -18,10 +18,10 @@ def partition_key(value: Column) -> Column:
     return F.md5(F.substring(value, 74, 127))
 
 
-def keyed_records(raw: DataFrame, value: str = "value") -> DataFrame:
-    """(key, value) of every record that is not blank, as a stream sink takes them."""
+def keyed_records(raw: DataFrame, value: str = "value", keep=()) -> DataFrame:
+    """(key, value) of every record that is not blank, as a stream sink takes them, and the columns to keep."""
     kept = raw.filter(not_blank(F.col(value)))
-    return kept.select(partition_key(F.col(value)).alias("key"), F.col(value).alias("value"))
+    return kept.select(partition_key(F.col(value)).alias("key"), F.col(value).alias("value"), *keep)
 
 
 def send_to_topic(records: DataFrame, servers: str, topic: str) -> None:

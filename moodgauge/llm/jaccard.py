@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
 from moodgauge.llm.graph import components
-from moodgauge.llm.tables import drop, stored
+from moodgauge.llm.tables import drop, locator, rows_without, scanned, stored
 
 FREQUENT = 1 << 20
 SMALLEST_LARGE = 48  # no set of so many shingles is worth enumerating
@@ -421,7 +421,7 @@ def jaccard_components(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The first document of each component, with all columns of a scanned table."""
-    here = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
-    gone = set_components(docs.select("doc_id", "text", here.alias("row")), **options).filter("row <> component.row")
-    return docs.select("*", here.alias("__row")).join(gone.select(F.col("row").alias("gone")), F.col("__row") == F.col("gone"), "left_anti").drop("__row")
+    """The first document of each component, with all columns. A frame that is no scan of files is written first."""
+    docs = scanned(docs)
+    gone = set_components(docs.select("doc_id", "text", locator(docs).alias("row")), **options).filter("row <> component.row")
+    return rows_without(docs, gone.select(F.col("row").alias("locator")))

@@ -30,5 +30,9 @@ def label_sample(labels: DataFrame, column: str, per_class: int) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> DataFrame:
-    """(doc_id, text, label) of the sample; it has at most 2 * per_class ids, so it is broadcast and no text is shuffled."""
-    return docs.select("doc_id", "text").join(F.broadcast(label_sample(labels, column, per_class)), "doc_id")
+    """(doc_id, text, label) of the sample; it has at most 2 * per_class ids, so it is broadcast, and only their texts are shuffled.
+
+    An id that several rows have counts once, with the smallest text.
+    """
+    rows = docs.select("doc_id", "text").join(F.broadcast(label_sample(labels, column, per_class)), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")

@@ -121,7 +121,10 @@ def cuts(rows: DataFrame, share: float, most: float) -> DataFrame:
 
 
 def mixed(docs: DataFrame, share: float = 1.5, most: float = 2.0, seed: int = 1) -> DataFrame:
-    """All documents and their columns, with mix_size, mix_source_size, mix_target and mix_copies (how often the mix takes it)."""
+    """All documents and their columns, with mix_size, mix_source_size, mix_target and mix_copies (how often the mix takes it).
+
+    The columns of the documents must not have these names, nor begin with __mix_.
+    """
     rows = sized(docs.select("doc_id", "source", "text"), seed)
     narrow = stored(rows.select("doc_id", "source", F.col("__mix_source").alias("name"), F.col("__mix_size").alias("size"), F.col("__mix_key").alias("key")), "mix-rows")
     cut = small(cuts(narrow, share, most)).select(F.col("name").alias("__mix_source"), "source_size", "target", "epochs", "low", "last")
@@ -148,9 +151,9 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns of the documents."""
-    out = mixed(docs, **options).filter("mix_copies > 0")
-    return out.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mix itself: each document as often as it is taken, with the columns of the documents, whatever their names."""
+    out = mixed(docs.select("doc_id", "source", "text", F.struct("*").alias("row")), **options).filter("mix_copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies"))).select("row.*")
 
 
 SQL = r"""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
 from moodgauge.llm.labelled import labelled_texts
-from moodgauge.llm.tables import held_out
+from moodgauge.llm.tables import held_out, mapped_rows
 
 WORD_TERMS, SHAPE_TERMS, END_TERMS, RATE_TERMS = 2048, 192, 128, 96
 TERMS = WORD_TERMS + SHAPE_TERMS + END_TERMS + RATE_TERMS
@@ -130,18 +130,20 @@ def vote(model: Model, counts: np.ndarray) -> np.ndarray:
 
 
 def scored(docs: DataFrame, model: Model | None, keep_from: float | None = None) -> DataFrame:
-    """All columns of the documents and `quality_score`; with `keep_from`, only rows that reach it."""
-    schema = docs.withColumn("quality_score", F.lit(0.0)).schema
+    """All columns of the documents and `quality_score`, in place of a column of that name; with `keep_from`, the rows that reach it as they are."""
+    docs = docs if keep_from is not None else docs.drop("quality_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in tx.chunks(batch, "text", most_rows=BLOCK_ROWS):
                 of = np.full(rows.num_rows, 0.5) if shared.value is None else vote(shared.value, term_counts(data, offsets)).astype(np.float64)
-                out = pa.RecordBatch.from_arrays([*rows.columns, pa.array(of)], [*rows.schema.names, "quality_score"])
-                yield out if keep_from is None else out.filter(pa.array(of >= keep_from))
+                if keep_from is None:
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(of)], [*rows.schema.names, "added"])
+                else:
+                    yield rows.filter(pa.array(of >= keep_from))
 
-    return docs.mapInArrow(tx.tidy(score), schema)
+    return mapped_rows(docs, tx.tidy(score), None if keep_from is not None else "quality_score")
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
@@ -154,4 +156,4 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **option
 
 def good_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """The documents whose score reaches the threshold, with all their columns."""
-    return scored(docs, fit(docs, labels, **options), threshold).drop("quality_score")
+    return scored(docs, fit(docs, labels, **options), threshold)

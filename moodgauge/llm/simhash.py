@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
 from moodgauge.llm.graph import components
-from moodgauge.llm.tables import drop, small, stored
+from moodgauge.llm.tables import drop, joined_by_key, small, stored
 
 SHINGLE = 4
 DISTANCE = 4
@@ -46,8 +46,6 @@ SAMPLE = 1 << 18
 SAMPLE_SHARE = 16
 PER_SHARD = 16
 HASH_BLOCK = 1 << 16
-# a key that holds this share of the rows is hot; there are at most so many of them
-HOT_SHARE = 1024
 LANES = np.uint64(0x0101010101010101)
 
 
@@ -311,23 +309,13 @@ def links(fps: DataFrame, distance: int = DISTANCE, bands: int = BANDS, shard_ro
     return dealt.mapInArrow(tx.tidy(give), "a long, b long")
 
 
-def by_key(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, rows: int) -> DataFrame:
-    """left joined with right, which has each key once. Hot keys, at most HOT_SHARE of them, are broadcast; sizes: (key, n) of left."""
-    hot = sizes.filter(F.col("n") * HOT_SHARE >= rows).select(key)
-    if hot.isEmpty():
-        return left.join(right, key)
-    of_hot = stored(right.join(F.broadcast(hot), key, "left_semi"), "hot-keys")
-    some = left.join(F.broadcast(of_hot.select(key)), key, "left_anti").join(right, key)
-    return some.unionByName(left.join(F.broadcast(of_hot), key))
-
-
 def classes(fps: DataFrame, distance: int = DISTANCE, **options) -> DataFrame:
     """(fp, component_id) for stored rows (fp, first, n) of distinct fingerprints; component_id: the smallest `first` of the class."""
     roots = stored(components(links(fps.select("fp"), distance, **options)).select(F.col("node").alias("fp"), "root"), "roots")
     near = stored(fps.join(roots, "fp").select("fp", "first", "root"), "near")
     of_root = stored(near.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")), "classes")
     rows = near.count()
-    joined = by_key(near.select("fp", "root"), of_root.select("root", "component_id"), "root", of_root, rows).select("fp", "component_id")
+    joined = joined_by_key(near.select("fp", "root"), of_root.select("root", "component_id"), "root", of_root, rows).select("fp", "component_id")
     alone = fps.join(roots.select("fp"), "fp", "left_anti").select("fp", F.col("first").alias("component_id"))
     out = stored(joined.unionByName(alone), "component-of")
     drop(roots, near, of_root)
@@ -338,5 +326,5 @@ def simhash_components(docs: DataFrame, n: int = SHINGLE, distance: int = DISTAN
     """doc_id, fingerprint (16 lowercase hex digits), component_id for every row."""
     rows = stored(fingerprints(docs, n), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct-fingerprints")
-    joined = by_key(rows, classes(fps, distance, **options), "fp", fps, rows.count())
+    joined = joined_by_key(rows, classes(fps, distance, **options), "fp", fps, rows.count())
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
 from moodgauge.llm.labelled import labelled_texts
-from moodgauge.llm.tables import held_out
+from moodgauge.llm.tables import held_out, mapped_rows
 
 BUCKETS, WIDTH = 1 << 18, 16
 SIZES = (3, 4, 5)
@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of the documents and `toxicity`."""
+    """All columns of the documents and `toxicity`, in place of a column of that name."""
+    docs = docs.drop("toxicity")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,9 +219,9 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                     some = np.flatnonzero(np.diff(at) > 0)
                     if len(some):
                         out[some] = 1 / (1 + np.exp(-np.clip(np.maximum.reduceat(logit[which], at[:-1][some]), -30, 30)))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out)], [*rows.schema.names, "toxicity"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out)], [*rows.schema.names, "added"])
 
-    return docs.mapInArrow(tx.tidy(score), docs.withColumn("toxicity", F.lit(0.0)).schema)
+    return mapped_rows(docs, tx.tidy(score), "toxicity")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:

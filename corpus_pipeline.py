@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from moodgauge.llm import exact, jaccard, mixing, neighbours, packing
 from moodgauge.llm.tables import stored, table
 
+# Texts go to Python in batches of at most so many bytes; an executor otherwise holds some 64 MB a task for them.
+ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled neighbours vote to keep."""
+    spark.conf.set(*ARROW_BATCH)
     return neighbours.good_only(docs, table(spark, sf_dir, "labels"))
 
 
@@ -24,6 +28,7 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group linked by near equal shingle sets."""
+    spark.conf.set(*ARROW_BATCH)
     return jaccard.one_of_each(docs)
 
 
@@ -34,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: a row per piece, with its ids."""
+    spark.conf.set(*ARROW_BATCH)
     return packing.packed(docs)
 
 

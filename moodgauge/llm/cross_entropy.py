@@ -12,7 +12,8 @@ The models are tables. Texts are read once, as numbers of the distinct words of
 the vocabulary, and later its distinct words and pairs with the models; what is found goes back to the chunk, a bounded group of
 texts. So a word or pair of any frequency costs one row per chunk. The most frequent entries of the models, of a fixed number, are
 broadcast and need no row; pairs that are in no model are told by a bitmap of fixed size before the join, which may let more through
-but never fewer.
+but never fewer. Pairs are counted in turns of their hash, and chunks scored in turns, each ending in a stored table, so that only one turn's
+shuffles are on disk. `least=1` keeps every word and pair.
 
 Defined cases: a null or empty text has no token and the losses and the score 0; without target rows the target model is the
 smoothed vocabulary alone; rows that repeat count each; further columns are ignored; an empty table gives an empty result.
@@ -21,6 +22,7 @@ smoothed vocabulary alone; rows that repeat count each; further columns are igno
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ BROADCAST_IDS = 1 << 20
 # the most frequent words and pairs of the models, at most so many, are broadcast; all others are joined
 HEAD_KEYS = 1 << 19
 MOST_COUNT = 1 << 16
+# pairs are counted, and chunks scored, in so many turns; the shuffles of a turn are over when the next begins
+TURNS = 4
 SHIFT = np.uint64(32)
 TEXTS = "part long, doc_id long, is_target boolean, tokens binary"
 WORDS = "key long, at int, n long, target long"
@@ -133,8 +137,8 @@ def with_ids(texts: DataFrame, words: DataFrame, unknown: int) -> DataFrame:
     return rows.groupBy("part").cogroup(known.groupBy("chunk")).applyInArrow(change, TEXTS)
 
 
-def counted_pairs(texts: DataFrame) -> DataFrame:
-    """(key, n, target): how often each pair of ids is found. Each task sums its own before the shuffle."""
+def counted_pairs(texts: DataFrame, turn: int = 0, turns: int = 1) -> DataFrame:
+    """(key, n, target): how often each pair of ids of a turn is found. Each task sums its own before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Counts()
@@ -143,7 +147,8 @@ def counted_pairs(texts: DataFrame) -> DataFrame:
                 rows = batch.slice(begin, TEXT_ROWS)
                 tokens, counts = unlisted(rows.column("tokens"))
                 places, keys = pair_keys(tokens, counts)
-                own.add(keys, np.repeat(rows.column("is_target").to_numpy(zero_copy_only=False), counts)[places])
+                here = tx.mix(keys) % np.uint64(turns) == turn
+                own.add(keys[here], np.repeat(rows.column("is_target").to_numpy(zero_copy_only=False), counts)[places[here]])
                 if own.held > HELD_KEYS:
                     yield own.take()
                     tx.give_back()
@@ -258,14 +263,14 @@ def scored(texts: DataFrame, looked_up: DataFrame, head: tuple[np.ndarray, np.nd
     return texts.groupBy("part").cogroup(looked_up.groupBy("chunk")).applyInArrow(score, LOSSES)
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "quality", rarest: float = RAREST) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "quality", rarest: float = RAREST, least: float = LEAST) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score for every document."""
     good = label_rows(labels, column).filter("label = 1").select("doc_id", F.lit(True).alias("is_target"))
     marked = docs.select("doc_id", "text").join(small(good, BROADCAST_IDS), "doc_id", "left").select("doc_id", "text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     read = stored(in_chunks(marked), "chunks", compression="zstd")
     every = stored(read.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target")), "word-counts")
     n, target = (x or 0 for x in every.agg(F.sum("n"), F.sum("target")).first())
-    least, least_target = max(LEAST, rarest * n), max(LEAST, rarest * target)
+    least, least_target = max(least, rarest * n), max(least, rarest * target)
 
     row = F.monotonically_increasing_id()
     chosen = stored(every.filter(F.col("n") >= least).withColumn("row", row), "vocabulary")
@@ -277,8 +282,11 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     drop(read, every, chosen)
     free(docs)
 
-    pairs = stored(counted_pairs(texts).filter((F.col("n") >= least) | (F.col("target") >= least_target)), "pairs")
-    free(docs)
+    of_turn = []
+    for turn in range(TURNS):
+        of_turn.append(stored(counted_pairs(texts, turn, TURNS).filter((F.col("n") >= least) | (F.col("target") >= least_target)), "pairs"))
+        free(docs)
+    pairs = reduce(DataFrame.unionByName, of_turn)
     rest = docs.sparkSession.createDataFrame([(n - (of_words or 0), target - (of_target or 0), size)], "n long, target long, id long")  # <unk> stands for all others
     beyond = [F.sum(F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0))).alias(f"{c}_used") for c in ("n", "target")]
     used = pairs.groupBy(F.shiftright("key", 32).alias("id")).agg(*beyond)
@@ -286,7 +294,14 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     models = stored(of_words.unionByName(pairs.select("key", "n", "target", F.lit(0.0).alias("n_used"), F.lit(0.0).alias("target_used"))), "models")
     cut, head = frequent(models)
     rarer = F.col("n") < cut
-    looked_up = wanted(texts, bitmap(mixed(pairs.filter(rarer))), head[0]).join(models.filter(rarer), "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
-    drop(words, pairs)
+    held = bitmap(mixed(pairs.filter(rarer)))
+    drop(words, *of_turn)
     free(docs)
-    return scored(texts, looked_up, head, np.array([[target], [n]], np.float64), size + 1)
+    out = []
+    for turn in range(TURNS):
+        some = texts.filter(F.pmod(F.xxhash64("part"), F.lit(TURNS)) == turn)
+        looked_up = wanted(some, held, head[0]).join(models.filter(rarer), "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
+        out.append(stored(scored(some, looked_up, head, np.array([[target], [n]], np.float64), size + 1), "scores"))
+        free(docs)
+    drop(texts, models)
+    return reduce(DataFrame.unionByName, out)

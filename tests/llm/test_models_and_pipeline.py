@@ -40,16 +40,16 @@ def test_components(spark):
 # language-model scoring
 
 
-def plain_losses(texts, target, rarest):
+def plain_losses(texts, target, rarest, least=2):
     tokens = [t.lower().split() for t in texts]
     total = [sum(len(t) for t, y in zip(tokens, target) if y), sum(map(len, tokens))]
     every = collections.Counter(w for t in tokens for w in t)
-    vocabulary = {w for w, n in every.items() if n >= max(2, rarest * total[1])}
+    vocabulary = {w for w, n in every.items() if n >= max(least, rarest * total[1])}
     tokens = [[w if w in vocabulary else None for w in t] for t in tokens]
     out = []
     singles = [collections.Counter(w for t, y in zip(tokens, target) if y or k for w in t) for k in (0, 1)]
     pairs = [collections.Counter(p for t, y in zip(tokens, target) if y or k for p in zip(t, t[1:])) for k in (0, 1)]
-    kept = {p for p in pairs[1] if pairs[1][p] >= max(2, rarest * total[1]) or pairs[0][p] >= max(2, rarest * total[0])}
+    kept = {p for p in pairs[1] if pairs[1][p] >= max(least, rarest * total[1]) or pairs[0][p] >= max(least, rarest * total[0])}
     for k in (0, 1):
         room = len(vocabulary) + 1
 
@@ -70,15 +70,15 @@ def plain_losses(texts, target, rarest):
     return out
 
 
-@pytest.mark.parametrize("rarest", [cross_entropy.RAREST, 0.02])
-def test_cross_entropy(spark, rarest):
+@pytest.mark.parametrize(("rarest", "least"), [(cross_entropy.RAREST, 2), (0.02, 2), (0.0, 1)])
+def test_cross_entropy(spark, rarest, least):
     rng = np.random.default_rng(9)
     texts = [" ".join(rng.choice(list("abcdeFGh"), int(rng.integers(1, 30)))) for _ in range(40)] + ["", "q", "a a a a"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality long")
     chosen = {r.doc_id for r in labels.filter("quality = 1").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).collect()}
-    want = plain_losses(texts, [k in chosen for k in range(len(texts))], rarest)
-    got = cross_entropy.cross_entropy_difference(docs, labels, rarest=rarest).collect()
+    want = plain_losses(texts, [k in chosen for k in range(len(texts))], rarest, least)
+    got = cross_entropy.cross_entropy_difference(docs, labels, rarest=rarest, least=least).collect()
     assert len(got) == len(texts)
     for r in got:
         assert (r.target_loss, r.background_loss) == pytest.approx((want[0][r.doc_id], want[1][r.doc_id]))
@@ -105,7 +105,7 @@ def test_good_documents_score_lower(spark):
 @pytest.mark.parametrize("head", [0, 40])
 def test_rarer_entries_are_joined(spark, monkeypatch, head):
     monkeypatch.setattr(cross_entropy, "HEAD_KEYS", head)
-    test_cross_entropy(spark, cross_entropy.RAREST)
+    test_cross_entropy(spark, cross_entropy.RAREST, 2)
 
 
 def test_models_follow_the_input(spark):

@@ -1,7 +1,11 @@
 """Lexicon sentiment after the published VADER rules, as a join with a (token, valence) table."""
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodgauge.functions.text import words
 
@@ -33,6 +37,8 @@ NEGATIONS = [
     "wont", "won't", "wouldnt", "wouldn't",
 ]
 CONTRAST = "but"
+# A lexicon of at most so many words is handed to the tasks.
+MOST_WORDS = 1 << 17
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -125,3 +131,69 @@ def score_texts(
     return sums.select(key, total.alias("_total")).select(
         key, F.round(F.col("_total") / F.sqrt(F.col("_total") * F.col("_total") + ALPHA), 4).alias("compound")
     )
+
+
+def known_words(lexicon: DataFrame) -> tuple[list[str], list[float]]:
+    """The lexicon's words and their valence, on the driver. Only for one of at most MOST_WORDS words, as published ones are."""
+    rows = lexicon.filter(F.col("token").isNotNull()).groupBy("token").agg(F.max("valence").cast("double").alias("valence")).limit(MOST_WORDS + 1).toArrow()
+    if rows.num_rows > MOST_WORDS:
+        raise ValueError(f"the lexicon has more than {MOST_WORDS} words; use score_texts, which joins it")
+    return rows["token"].to_pylist(), rows["valence"].to_pylist()
+
+
+def _valences(lexicon: DataFrame):
+    """A function from words to their valence, null where there is none; one look-up for all words of a batch."""
+    tokens, values = known_words(lexicon)
+
+    def look_up(words: pd.Series) -> pd.Series:
+        held, valence = pa.array(tokens, pa.string()), pa.array(values, pa.float64())
+        counts = words.map(lambda x: 0 if x is None else len(x))
+        flat = pa.array([w for x in words if x is not None for w in x], pa.string())
+        found = pc.take(valence, pc.index_in(flat, held)).to_pylist()
+        ends = counts.cumsum().tolist()
+        return pd.Series([found[end - n : end] for end, n in zip(ends, counts.tolist())], words.index, dtype=object)
+
+    return F.pandas_udf(look_up, T.ArrayType(T.DoubleType()))
+
+
+def add_compound(
+    texts: DataFrame, text: str, lexicon: DataFrame, name: str = "compound",
+    boosters=BOOSTERS, dampeners=DAMPENERS, negations=NEGATIONS, contrast: str = CONTRAST,
+) -> DataFrame:
+    """The rows with the sentiment that `score_texts` gives, worked out in place: no key, no shuffle, and on a stream as well."""
+    tokens, value = F.col("_lex.tokens"), F.col("_lex_values")
+    in_words = F.struct(words(F.col(text), lower=False).alias("words"), F.transform(words(F.col(text), lower=False), _token).alias("tokens"))
+    rows = texts.withColumn("_lex", in_words).withColumn("_lex_values", _valences(lexicon)(tokens))
+    mixed = F.exists("_lex.words", _shouted) & ~F.forall("_lex.words", _shouted)
+    turn = F.when(F.lower(F.col(text)).contains(contrast), F.array_position(tokens, contrast)).otherwise(0)
+
+    rows = rows.withColumns({"_lex_mixed": mixed, "_lex_turn": turn})
+
+    def raised(valence: Column, place: Column) -> Column:
+        loud = _shouted(F.get(F.col("_lex.words"), place)) & F.col("_lex_mixed")
+        return valence + F.when(valence.isNotNull() & loud, F.signum(valence) * CAPS).otherwise(0.0)
+
+    def pushed(distance: int, damping: float):
+        def push(valence: Column, place: Column) -> Column:
+            near, near_word = F.get(tokens, place - distance), F.get(F.col("_lex.words"), place - distance)
+            boost = F.when(near.isin(list(boosters)), INTENSIFY).when(near.isin(list(dampeners)), -INTENSIFY)
+            louder = F.when(F.col("_lex_mixed") & _shouted(near_word), CAPS).otherwise(0.0)
+            more = F.coalesce(F.signum(valence) * damping * (boost + louder), F.lit(0.0))
+            return F.when(valence.isNotNull(), (valence + more) * F.when(near.isin(list(negations)), NEGATE).otherwise(1.0))
+
+        return push
+
+    def sided(valence: Column, place: Column) -> Column:
+        side = F.when(F.col("_lex_turn") == 0, 1.0).when(place + 1 < F.col("_lex_turn"), BEFORE_BUT).when(place + 1 > F.col("_lex_turn"), AFTER_BUT)
+        return valence * side.otherwise(1.0)
+
+    each = F.transform(value, raised)
+    for distance, damping in enumerate(DISTANCE, start=1):
+        each = F.transform(each, pushed(distance, damping))
+    each = F.transform(each, sided)
+    rows = rows.withColumn("_lex_sum", F.aggregate(F.filter(each, lambda x: x.isNotNull()), F.lit(0.0), lambda a, x: a + x))
+    total = F.coalesce(F.col("_lex_sum"), F.lit(0.0))
+    total = total + F.signum(total) * F.coalesce(_emphasis(F.col(text)), F.lit(0.0))
+    rows = rows.withColumn("_lex_total", total)
+    compound = F.round(F.col("_lex_total") / F.sqrt(F.col("_lex_total") * F.col("_lex_total") + ALPHA), 4)
+    return rows.withColumn(name, compound).drop("_lex", "_lex_values", "_lex_mixed", "_lex_turn", "_lex_sum", "_lex_total")

@@ -329,6 +329,22 @@ def lexicon_score(spark, sf_dir):
     return scored.withColumn("vader", numeric.to_unit_range(F.col("compound")))
 
 
+@query(
+    "stream_lexicon_score",
+    f"WITH {_LEXICON_SQL} SELECT doc_id, round(s / sqrt(s * s + 15), 4) AS compound, (round(s / sqrt(s * s + 15), 4) + 1) / 2 AS vader FROM total",
+)
+def stream_lexicon_score(spark, sf_dir):
+    """The same scores worked out in place on a stream in append mode."""
+    out, texts = scratch_path(spark, "lexicon-scores"), t.texts(spark, sf_dir)
+    source = scratch_path(spark, "texts")
+    texts.select("doc_id", "text").write.parquet(source)
+    stream = spark.readStream.schema("doc_id long, text string").parquet(source)
+    scored = lexicon.add_compound(stream, "text", _lexicon(spark, sf_dir), "compound", _UP, _DOWN, _NOT, _TURN).drop("text")
+    run = scored.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "state"))
+    run.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).withColumn("vader", numeric.to_unit_range(F.col("compound")))
+
+
 def _training(spark, sf_dir):
     """Labelled documents in the form the classifier reads."""
     labels = t.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("labels"))

@@ -10,7 +10,7 @@ from moodgauge.schemas import INDEX_VALUE
 from moodgauge.session import scratch_path
 from moodgauge.sources import readers, writers
 from moodgauge.sources.store import PostStore
-from moodgauge.streaming import stages
+from moodgauge.streaming import changes, stages
 
 
 def _landed_turns(spark, sf_dir):
@@ -175,3 +175,27 @@ def stream_progress(spark, sf_dir):
     counts = scratch_path(spark, "counts")
     stages.land_counted(kept, scratch_path(spark, "kept"), counts, scratch_path(spark, "state")).start().awaitTermination()
     return spark.read.parquet(counts).agg(F.sum("rows").alias("rows"), F.sum("keyed").alias("keyed"))
+
+
+@query(
+    "stream_changes",
+    f"""WITH {t.POST_EVENTS},
+v AS (SELECT *, row_number() OVER k AS rn, lag(interaction_total) OVER k AS pi, lag(likes_total) OVER k AS pl FROM p
+      WINDOW k AS (PARTITION BY post_type, message_id ORDER BY ms, event_id))
+SELECT event_id, post_type, message_id, interaction_total, likes_total, ms FROM v
+WHERE rn = 1 OR interaction_total IS DISTINCT FROM pi OR likes_total IS DISTINCT FROM pl""",
+)
+def stream_changes(spark, sf_dir):
+    """Versions that change a counter, by keyed state over a stream that brings them in three parts."""
+    path, out = scratch_path(spark, "versions"), scratch_path(spark, "changes")
+    versions = t.post_events(spark, sf_dir).select("event_id", "post_type", "message_id", "interaction_total", "likes_total", "ms")
+    first, last = versions.agg(F.min("ms"), F.max("ms")).first()
+    third = F.floor((F.col("ms") - first) * 3 / (last - first + 1))
+    for part in range(3):
+        versions.filter(third == part).coalesce(1).write.mode("append").parquet(path)
+    session = changes.with_state_store(spark)
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # no timer is to fire here
+    stream = session.readStream.schema(versions.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    changed = changes.changes(stream, ["ms", "event_id"], ["interaction_total", "likes_total"])
+    _run(changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True))
+    return spark.read.parquet(out).filter(F.col("reason") == changes.CHANGED).drop("reason")

@@ -12,8 +12,7 @@ The models are tables. Texts are read once, as numbers of the distinct words of
 the vocabulary, and later its distinct words and pairs with the models; what is found goes back to the chunk, a bounded group of
 texts. So a word or pair of any frequency costs one row per chunk. The most frequent entries of the models, of a fixed number, are
 broadcast and need no row; pairs that are in no model are told by a bitmap of fixed size before the join, which may let more through
-but never fewer. Pairs are counted in turns of their hash, and chunks scored in turns, each ending in a stored table, so that only one turn's
-shuffles are on disk. `least=1` keeps every word and pair.
+but never fewer. Pairs are counted, and looked up, in turns of their hash, each ending in a stored table, so that only one turn's shuffles are on disk. `least=1` keeps every word and pair.
 
 Defined cases: a null or empty text has no token and the losses and the score 0; without target rows the target model is the
 smoothed vocabulary alone; rows that repeat count each; further columns are ignored; an empty table gives an empty result.
@@ -46,7 +45,7 @@ BROADCAST_IDS = 1 << 20
 # the most frequent words and pairs of the models, at most so many, are broadcast; all others are joined
 HEAD_KEYS = 1 << 19
 MOST_COUNT = 1 << 16
-# pairs are counted, and chunks scored, in so many turns; the shuffles of a turn are over when the next begins
+# pairs are counted, and looked up in the models, in so many turns; the shuffles of a turn are over when the next begins
 TURNS = 4
 SHIFT = np.uint64(32)
 TEXTS = "part long, doc_id long, is_target boolean, tokens binary"
@@ -205,8 +204,8 @@ def values(tables: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray) -> tup
     return out, any_known
 
 
-def wanted(texts: DataFrame, held: np.ndarray, head: np.ndarray) -> DataFrame:
-    """(part, key) of the words (-1 - id) and pairs of each chunk, without those of the head and pairs the bitmap does not have."""
+def wanted(texts: DataFrame, held: np.ndarray, head: np.ndarray, turn: int = 0, turns: int = 1) -> DataFrame:
+    """(part, key) of the words (-1 - id) and pairs of each chunk, of one turn, without those of the head and pairs the bitmap does not have."""
     shared = texts.sparkSession.sparkContext.broadcast((held, head))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,9 +214,12 @@ def wanted(texts: DataFrame, held: np.ndarray, head: np.ndarray) -> DataFrame:
             parts = batch.column("part").to_numpy()
             for part in np.unique(parts):
                 tokens, counts = unlisted(batch.column("tokens").filter(pa.array(parts == part)))
-                pairs = np.unique(pair_keys(tokens, counts)[1])
+                pairs = pair_keys(tokens, counts)[1]
+                pairs = np.unique(pairs[tx.mix(pairs) % np.uint64(turns) == turn])
                 pairs = pairs[among(held, tx.mix(pairs))]
-                keys = np.concatenate((-1 - np.unique(tokens), pairs.view(np.int64)))
+                words = -1 - np.unique(tokens)
+                words = words[tx.mix(words.view(np.uint64)) % np.uint64(turns) == turn]
+                keys = np.concatenate((words, pairs.view(np.int64)))
                 keys = keys[~found_in(head, keys)[0]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part)), pa.array(keys)], ["part", "key"])
 
@@ -297,11 +299,14 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
     held = bitmap(mixed(pairs.filter(rarer)))
     drop(words, *of_turn)
     free(docs)
-    out = []
+    found = []
     for turn in range(TURNS):
-        some = texts.filter(F.pmod(F.xxhash64("part"), F.lit(TURNS)) == turn)
-        looked_up = wanted(some, held, head[0]).join(models.filter(rarer), "key").select(F.col("part").alias("chunk"), "key", "n", "target", "n_used", "target_used")
-        out.append(stored(scored(some, looked_up, head, np.array([[target], [n]], np.float64), size + 1), "scores"))
+        # of a turn's keys, so the models are shuffled once in all
+        asked = wanted(texts, held, head[0], turn, TURNS)
+        of_turn = models.filter(rarer).join(asked.select("key", F.col("part").alias("chunk")), "key")
+        found.append(stored(of_turn.select("chunk", "key", "n", "target", "n_used", "target_used"), "looked-up", compression="zstd"))
         free(docs)
-    drop(texts, models)
-    return reduce(DataFrame.unionByName, out)
+    drop(models)
+    out = stored(scored(texts, reduce(DataFrame.unionByName, found), head, np.array([[target], [n]], np.float64), size + 1), "scores")
+    drop(texts, *found)
+    return out

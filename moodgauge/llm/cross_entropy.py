@@ -12,7 +12,8 @@ The models are tables. Texts are read once, as numbers of the distinct words of
 the vocabulary, and later its distinct words and pairs with the models; what is found goes back to the chunk, a bounded group of
 texts. So a word or pair of any frequency costs one row per chunk. The most frequent entries of the models, of a fixed number, are
 broadcast and need no row; pairs that are in no model are told by a bitmap of fixed size before the join, which may let more through
-but never fewer. Pairs are counted, and looked up, in turns of their hash, each ending in a stored table, so that only one turn's shuffles are on disk. `least=1` keeps every word and pair.
+but never fewer. Pairs are counted and looked up in turns of their hash, and chunks scored in
+turns of theirs, each ending in a stored table, so that only one turn's shuffles are on disk. `least=1` keeps every word and pair.
 
 Defined cases: a null or empty text has no token and the losses and the score 0; without target rows the target model is the
 smoothed vocabulary alone; rows that repeat count each; further columns are ignored; an empty table gives an empty result.
@@ -307,6 +308,10 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, column: str = "
         found.append(stored(of_turn.select("chunk", "key", "n", "target", "n_used", "target_used"), "looked-up", compression="zstd"))
         free(docs)
     drop(models)
-    out = stored(scored(texts, reduce(DataFrame.unionByName, found), head, np.array([[target], [n]], np.float64), size + 1), "scores")
+    out, every_found = [], reduce(DataFrame.unionByName, found)
+    for turn in range(TURNS):
+        of_texts, of_found = (df.filter(F.pmod(F.xxhash64(c), F.lit(TURNS)) == turn) for df, c in ((texts, "part"), (every_found, "chunk")))
+        out.append(stored(scored(of_texts, of_found, head, np.array([[target], [n]], np.float64), size + 1), "scores"))
+        free(docs)
     drop(texts, *found)
-    return out
+    return reduce(DataFrame.unionByName, out)

@@ -10,7 +10,7 @@ from moodgauge.schemas import INDEX_VALUE
 from moodgauge.session import scratch_path
 from moodgauge.sources import readers, writers
 from moodgauge.sources.store import PostStore
-from moodgauge.streaming import changes, stages
+from moodgauge.streaming import changes, panes, stages
 
 
 def _landed_turns(spark, sf_dir):
@@ -90,6 +90,34 @@ def stream_sliding_sentiment(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(
+    "stream_trailing_panes",
+    f"""WITH {t.POSTS},
+pane AS (SELECT CASE WHEN post_type = 'stocktwit' THEN 'stocktwits' ELSE 'twitter' END AS sentiment_type,
+        (created_at_epoch_ms // 30000 + 1) * 30000 AS pane_end, CAST(sum(CAST(impact * (sentiment_mixed - 0.5) * 10000 AS BIGINT)) AS BIGINT) AS v,
+        count(*) AS n
+      FROM posts GROUP BY ALL),
+w AS (SELECT sentiment_type, pane_end + k * 30000 AS end_ms, CAST(sum(v) AS BIGINT) AS v, CAST(sum(n) AS BIGINT) AS n
+      FROM pane, range(1440) g(k) GROUP BY ALL)
+SELECT sentiment_type, end_ms, n AS n_posts, sign(v) * ((2 * abs(v) + 10 * n) // (20 * n)) / 1000.0 AS sentiment_absolute
+FROM w WHERE end_ms <= (SELECT max(created_at_epoch_ms) - 43200000 FROM posts)""",
+)
+def stream_trailing_panes(spark, sf_dir):
+    """Twelve-hour sentiment every 30 seconds over a stream in four parts, every tenth post six hours late."""
+    path, out = scratch_path(spark, "posts"), scratch_path(spark, "panes")
+    rows = t.posts(spark, sf_dir).select("post_id", "post_type", "impact", "sentiment_mixed", "created_at_epoch_ms")
+    received = F.col("created_at_epoch_ms") + F.when(F.col("post_id") % 10 == 0, 6 * 3_600_000).otherwise(0)
+    first, last = rows.agg(F.min(received), F.max(received)).first()
+    quarter = F.floor((received - first) * 4 / (last - first + 1))
+    for part in range(4):
+        rows.filter(quarter == part).coalesce(1).write.mode("append").parquet(path)
+    stream = changes.with_state_store(spark).readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = stream.withColumn("created_at", F.timestamp_millis("created_at_epoch_ms"))
+    borders = panes.trailing_panes(stream, "created_at").withColumn("sentiment_absolute", F.col("sentiment_absolute").cast("double"))
+    _run(borders.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True))
+    return spark.read.parquet(out)
+
+
 def _ingested(spark, sf_dir):
     """Store after the whole stream went through, and the moment of its last post."""
     source = _landed_turns(spark, sf_dir)

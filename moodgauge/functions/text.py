@@ -1,6 +1,7 @@
 """Cleaning, tagging and tokenising of post text."""
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -34,9 +35,22 @@ LINK_PATTERN = r"(?i)(https?|ftp)://[^\s]+"
 MENTION_PATTERN = r"@[\p{L}\p{N}_]*"
 
 
+_LONG_REFERENCE = re.compile(r"&#([0-9]{8,});?")
+
+
+def resolve_entities(text: str) -> str:
+    """HTML entities resolved. A reference by a number of any length is read; beyond the last code point it is U+FFFD."""
+
+    def shorter(found: re.Match) -> str:
+        digits = found[1].lstrip("0") or "0"
+        return "\ufffd" if len(digits) > 7 else f"&#{digits};"
+
+    return html.unescape(_LONG_REFERENCE.sub(shorter, text))
+
+
 @F.pandas_udf(StringType())
 def _resolve_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+    return texts.map(resolve_entities, na_action="ignore")
 
 
 def unescape_html(text: Column) -> Column:

@@ -131,3 +131,11 @@ def test_repeat_factor(spark, impact, want):
 def test_numeric_label(spark):
     frame = spark.createDataFrame([("Bullish",), ("Bearish",), ("Undetermined",), ("Other",), (None,)], "s string")
     assert [r[0] for r in frame.select(numeric.numeric_label(F.col("s"))).collect()] == [1, 0, 2, None, None]
+
+
+def test_numeric_entities_of_any_length(spark):
+    texts = ["a &#" + "1" * 5000 + "; b", "&#" + "0" * 5000 + "65;x", "&#99999999", "&#x41;&#65;&amp;", "&#00000000;"]
+    want = ["a \ufffd b", "Ax", "\ufffd", "AA&", "\ufffd"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = rows.select("id", text.unescape_html(F.col("text")).alias("text")).collect()
+    assert [r.text for r in sorted(got)] == want

@@ -1,5 +1,8 @@
 """Lexicon sentiment after the published VADER rules, as a join with a (token, valence) table."""
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,9 +42,73 @@ NEGATIONS = [
 CONTRAST = "but"
 # A lexicon of at most so many words is handed to the tasks.
 MOST_WORDS = 1 << 17
+# Fixed values of the published rules for several words.
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "cut the mustard": 2.0, "kiss of death": -1.5, "hand to mouth": -2.0, "beating heart": 3.1, "broken heart": -2.9, "to die for": 3.0,
+}
+PHRASE_BOOSTERS = {"just enough": -INTENSIFY, "kind of": -INTENSIFY, "sort of": -INTENSIFY}
+NEVER_SO = 1.25
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+@dataclass(frozen=True)
+class Phrases:
+    """Rules that look at several words; a word below is a token as the lexicon has it.
+
+    `idioms`, of one to three words, replace the valence of a known word that they hold, end before or begin with. `boosters`, of two
+    or three words, stand one or two words before a known word. `least` turns the word after it, unless one of `least_plain` is before
+    it; `never` before one of `so` strengthens instead of turning, and `without` before `doubt` leaves as it is. The first word of a
+    pair in `silent` has no valence of its own.
+    """
+
+    idioms: dict[str, float] = field(default_factory=lambda: dict(IDIOMS))
+    boosters: dict[str, float] = field(default_factory=lambda: dict(PHRASE_BOOSTERS))
+    least: str = "least"
+    least_plain: tuple[str, ...] = ("at", "very")
+    never: str = "never"
+    so: tuple[str, ...] = ("so", "this")
+    without: str = "without"
+    doubt: str = "doubt"
+    silent: tuple[str, ...] = ("kind of",)
+
+    def words(self, tokens: Column, place: Column, first: int, last: int) -> Column:
+        """The tokens from `first` to `last` places after a place, as one phrase; null if one is outside."""
+        each = [F.get(tokens, place + d) for d in range(first, last + 1)]
+        return F.concat(*[part for word in each for part in (word, F.lit(" "))][:-1])
+
+    def look_up(self, table: dict[str, float], phrase: Column) -> Column:
+        if not table:
+            return F.lit(None).cast("double")
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]).cast("map<string,double>"), phrase)
+
+    def heard(self, valence: Column, tokens: Column, place: Column) -> Column:
+        """The valence of a known word, null if a pair silences it."""
+        if not self.silent:
+            return valence
+        return F.when(~F.coalesce(self.words(tokens, place, 0, 1).isin(list(self.silent)), F.lit(False)), valence)
+
+    def turning(self, tokens: Column, place: Column, distance: int, plain: Column) -> Column:
+        """What a negation `distance` places before multiplies with; `plain` if no rule for several words holds."""
+        near, between = F.get(tokens, place - distance), [F.get(tokens, place - d) for d in range(1, distance)]
+        if not between:
+            return plain
+        strong = reduce(lambda a, b: a | b, [F.coalesce(b.isin(list(self.so)), F.lit(False)) for b in between])
+        sure = reduce(lambda a, b: a | b, [F.coalesce(b == self.doubt, F.lit(False)) for b in between])
+        return F.when((near == self.never) & strong, NEVER_SO).when((near == self.without) & sure, 1.0).otherwise(plain)
+
+    def settled(self, valence: Column, tokens: Column, place: Column) -> Column:
+        """The valence of a known word after idioms, boosters of several words and `least`."""
+        # what begins with the word goes before what ends with it or before it, in the order of the published rules
+        reach = [(0, 2), (0, 1), (0, 0), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
+        idiom = F.coalesce(*[self.look_up(self.idioms, self.words(tokens, place, *r)) for r in reach], valence)
+        pushes = [F.coalesce(self.look_up(self.boosters, self.words(tokens, place, *r)), F.lit(0.0)) for r in ((-3, -1), (-3, -2), (-2, -1))]
+        before = F.get(tokens, place - 2)
+        turned = (F.get(tokens, place - 1) == self.least) & ~F.coalesce(before.isin(list(self.least_plain)), F.lit(False))
+        value = reduce(lambda a, b: a + b, pushes, idiom) * F.when(turned, NEGATE).otherwise(1.0)
+        return F.when(valence.isNotNull(), value)
+
+
 def _strip_edges(word: Column) -> Column:
     """Drop punctuation around a word, unless two characters or fewer would stay."""
     bare = F.btrim(word, F.lit(PUNCTUATION))
@@ -158,9 +225,12 @@ def _valences(lexicon: DataFrame):
 
 def add_compound(
     texts: DataFrame, text: str, lexicon: DataFrame, name: str = "compound",
-    boosters=BOOSTERS, dampeners=DAMPENERS, negations=NEGATIONS, contrast: str = CONTRAST,
+    boosters=BOOSTERS, dampeners=DAMPENERS, negations=NEGATIONS, contrast: str = CONTRAST, phrases: Phrases | None = None,
 ) -> DataFrame:
-    """The rows with the sentiment that `score_texts` gives, worked out in place: no key, no shuffle, and on a stream as well."""
+    """The rows with the sentiment that `score_texts` gives, worked out in place: no key, no shuffle, and on a stream as well.
+
+    With `phrases`, rules for several words are applied too, looked up around known words only. Emoticons are words of the lexicon.
+    """
     tokens, value = F.col("_lex.tokens"), F.col("_lex_values")
     in_words = F.struct(words(F.col(text), lower=False).alias("words"), F.transform(words(F.col(text), lower=False), _token).alias("tokens"))
     rows = texts.withColumn("_lex", in_words).withColumn("_lex_values", _valences(lexicon)(tokens))
@@ -179,7 +249,10 @@ def add_compound(
             boost = F.when(near.isin(list(boosters)), INTENSIFY).when(near.isin(list(dampeners)), -INTENSIFY)
             louder = F.when(F.col("_lex_mixed") & _shouted(near_word), CAPS).otherwise(0.0)
             more = F.coalesce(F.signum(valence) * damping * (boost + louder), F.lit(0.0))
-            return F.when(valence.isNotNull(), (valence + more) * F.when(near.isin(list(negations)), NEGATE).otherwise(1.0))
+            turning = F.when(near.isin(list(negations)), NEGATE).otherwise(1.0)
+            if phrases:
+                turning = phrases.turning(tokens, place, distance, turning)
+            return F.when(valence.isNotNull(), (valence + more) * turning)
 
         return push
 
@@ -187,9 +260,13 @@ def add_compound(
         side = F.when(F.col("_lex_turn") == 0, 1.0).when(place + 1 < F.col("_lex_turn"), BEFORE_BUT).when(place + 1 > F.col("_lex_turn"), AFTER_BUT)
         return valence * side.otherwise(1.0)
 
+    if phrases:
+        value = F.transform(value, lambda valence, place: phrases.heard(valence, tokens, place))
     each = F.transform(value, raised)
     for distance, damping in enumerate(DISTANCE, start=1):
         each = F.transform(each, pushed(distance, damping))
+    if phrases:
+        each = F.transform(each, lambda valence, place: phrases.settled(valence, tokens, place))
     each = F.transform(each, sided)
     rows = rows.withColumn("_lex_sum", F.aggregate(F.filter(each, lambda x: x.isNotNull()), F.lit(0.0), lambda a, x: a + x))
     total = F.coalesce(F.col("_lex_sum"), F.lit(0.0))

@@ -329,6 +329,55 @@ def lexicon_score(spark, sf_dir):
     return scored.withColumn("vader", numeric.to_unit_range(F.col("compound")))
 
 
+# rules for several words, of words that these texts have
+_PHRASES = lexicon.Phrases(
+    idioms={"of the": 2.5, "the": 0.5, "and the": -1.5, "the the the": 3.0, "la de": 1.5, "de la": -2.0, "der der": 0.25},
+    boosters={"to the": -0.293, "and of": 0.293, "the of the": 0.5}, least="a", least_plain=("the", "de"), never="is", so=("that", "the"),
+    without="est", doubt="la", silent=("the of", "und die"),
+)
+
+
+def _table(values):
+    return ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in values.items())
+
+
+def _idioms(words):
+    return f"(SELECT w FROM idiom WHERE p = {words})"
+
+
+def _phrase_boost(words):
+    return f"coalesce((SELECT w FROM phrase_boost WHERE p = {words}), 0)"
+
+
+_NEVER = f"IN {_in(_PHRASES.so)}"
+_TURN2 = f"CASE WHEN t2 = '{_PHRASES.never}' AND coalesce(t1 {_NEVER}, false) THEN 1.25 WHEN t2 = '{_PHRASES.without}' AND t1 = '{_PHRASES.doubt}' THEN 1 WHEN n2 THEN -0.74 ELSE 1 END"
+_TURN3 = (
+    f"CASE WHEN t3 = '{_PHRASES.never}' AND (t1 {_NEVER} OR t2 {_NEVER}) THEN 1.25 "
+    f"WHEN t3 = '{_PHRASES.without}' AND (t1 = '{_PHRASES.doubt}' OR t2 = '{_PHRASES.doubt}') THEN 1 WHEN n3 THEN -0.74 ELSE 1 END"
+)
+_PHRASES_SQL = (
+    _LEXICON_SQL.replace("near AS (SELECT m.*,", "near AS (SELECT m.*, lag(token, 1) OVER w AS t1, lag(token, 2) OVER w AS t2, lag(token, 3) OVER w AS t3, "
+                         "lead(token, 1) OVER w AS l1, lead(token, 2) OVER w AS l2,")
+    .replace("JOIN text_marks USING (doc_id))", f"JOIN text_marks USING (doc_id) WHERE coalesce(token || ' ' || l1 NOT IN {_in(_PHRASES.silent)}, true))")
+    .replace("CASE WHEN n2 THEN -0.74 ELSE 1 END", _TURN2)
+    .replace("CASE WHEN n3 THEN -0.74 ELSE 1 END", _TURN3)
+    .replace("sums AS (", f"""idiom(p, w) AS (VALUES {_table(_PHRASES.idioms)}), phrase_boost(p, w) AS (VALUES {_table(_PHRASES.boosters)}),
+v4 AS (SELECT * REPLACE ((coalesce({_idioms("token || ' ' || l1 || ' ' || l2")}, {_idioms("token || ' ' || l1")}, {_idioms("token")},
+      {_idioms("t1 || ' ' || token")}, {_idioms("t2 || ' ' || t1 || ' ' || token")}, {_idioms("t2 || ' ' || t1")}, {_idioms("t3 || ' ' || t2 || ' ' || t1")}, {_idioms("t3 || ' ' || t2")}, v)
+    + {_phrase_boost("t3 || ' ' || t2 || ' ' || t1")} + {_phrase_boost("t3 || ' ' || t2")} + {_phrase_boost("t2 || ' ' || t1")})
+    * CASE WHEN t1 = '{_PHRASES.least}' AND coalesce(t2 NOT IN {_in(_PHRASES.least_plain)}, true) THEN -0.74 ELSE 1 END AS v) FROM v3),
+sums AS (""")
+    .replace("FROM v3 GROUP BY", "FROM v4 GROUP BY")
+)
+
+
+@query("lexicon_phrases", f"WITH {_PHRASES_SQL} SELECT doc_id, round(s / sqrt(s * s + 15), 4) AS compound FROM total")
+def lexicon_phrases(spark, sf_dir):
+    """Scores with the rules for several words, in place."""
+    texts = t.texts(spark, sf_dir).select("doc_id", "text")
+    return lexicon.add_compound(texts, "text", _lexicon(spark, sf_dir), "compound", _UP, _DOWN, _NOT, _TURN, _PHRASES).drop("text")
+
+
 @query(
     "stream_lexicon_score",
     f"WITH {_LEXICON_SQL} SELECT doc_id, round(s / sqrt(s * s + 15), 4) AS compound, (round(s / sqrt(s * s + 15), 4) + 1) / 2 AS vader FROM total",

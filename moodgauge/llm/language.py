@@ -14,7 +14,6 @@ rows that repeat count each; further columns are ignored.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -23,23 +22,65 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodgauge.functions.text import resolve_entities
 from moodgauge.llm import text as tx
 from moodgauge.llm.tables import stored
 
 GRAM, BUCKETS = 3, 1 << 15
 TEMPER = 1.0 / GRAM
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
-DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+# elements whose content is not shown, up to their end tag
+OPENED = re.compile(r"<(script|style|noscript|template)\b", re.I)
+CLOSED = {name: re.compile(rf"</{name}\s*+>", re.I) for name in ("script", "style", "noscript", "template")}
+ROOT = re.compile(r"<html\b", re.I)
+LANG = re.compile(r"\blang\s*+=\s*+(?:[\"']\s*+)?+([A-Za-z]+)", re.I)
+# a task sends its counts on when it holds so many languages
+HELD_LANGUAGES = 64
 
 
 def visible(page: str | None) -> str:
-    """The text of a page between its tags, without scripts, styles and comments."""
-    return html.unescape(HIDDEN.sub(" ", page)) if page else ""
+    """The text of a page between its tags, without scripts, styles and comments.
+
+    One pass over the places of `<`. An end that is not found once is not there further on either, and is not looked for again, so
+    the time is proportional to the page, whatever it leaves open.
+    """
+    if not page:
+        return ""
+    shown, at, absent = [], 0, set()
+    while True:
+        begin = page.find("<", at)
+        close = page.find(">", begin + 1) if begin >= 0 else -1
+        if close < 0:
+            shown.append(page[at:])
+            return resolve_entities(" ".join(shown))
+        shown.append(page[at:begin])
+        at = close + 1
+        opened = OPENED.match(page, begin)
+        if page.startswith("<!--", begin) and "comment" not in absent:
+            end = page.find("-->", begin + 4)
+            if end >= 0:
+                at = end + 3
+            else:
+                absent.add("comment")
+        elif opened and (name := opened[1].casefold()) not in absent:
+            end = CLOSED[name].search(page, opened.end())
+            if end:
+                at = end.end()
+            else:
+                absent.add(name)
 
 
 def declared(page: str | None) -> str:
-    found = DECLARED.search(page) if page else None
-    return found[1].lower() if found else ""
+    """The language that the page's root element declares, in lower case; '' if none does."""
+    root = ROOT.search(page) if page else None
+    while root:
+        # a tag reaches to the next `>`; another root within it has no more to offer
+        close = page.find(">", root.end())
+        end = close if close >= 0 else len(page)
+        found = LANG.search(page, root.end(), end)
+        if found:
+            return found[1].lower()
+        root = ROOT.search(page, end)
+    return ""
 
 
 def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,6 +96,13 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for name, n in sums.items():
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "bucket", "n"])
+            sums.clear()
+
         for batch in batches:
             for rows, data, offsets in tx.chunks(batch, "text"):
                 buckets, text = gram_buckets(data, offsets)
@@ -62,9 +110,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 which = names.indices.to_numpy(zero_copy_only=False)[text]
                 for k, name in enumerate(names.dictionary.to_pylist()):
                     sums[name] = sums.get(name, 0) + np.bincount(buckets[which == k], minlength=BUCKETS)
-        for name, n in sums.items():
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(n[some])], ["lang", "bucket", "n"])
+                    if len(sums) >= HELD_LANGUAGES:
+                        yield from give()
+        yield from give()
 
     found = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang is not null").mapInArrow(tx.tidy(count), "lang string, bucket long, n long")
     return found.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))

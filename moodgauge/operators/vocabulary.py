@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from moodgauge.functions.text import PAD_TOKEN, UNKNOWN_TOKEN
 from moodgauge.operators.ordering import top_by_count
@@ -12,6 +13,8 @@ from moodgauge.operators.ordering import top_by_count
 MAX_TOKENS = 60_000
 MIN_COUNT = 2
 UNKNOWN_ID, PAD_ID = 0, 1
+# sketches of frequent tokens: how many tokens one tracks, how many there are at most, and how many tokens are counted after them
+SKETCH_ITEMS, SKETCH_PARTS, SKETCH_CANDIDATES = 1 << 14, 64, 1 << 11
 
 
 def token_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -32,6 +35,51 @@ def least_common(counts: DataFrame, k: int = 25) -> DataFrame:
     return counts.orderBy("n", F.desc("token")).limit(k)
 
 
+def _tokens(docs: DataFrame, tokens: str) -> DataFrame:
+    return docs.select(F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
+
+
+def token_sketches(docs: DataFrame, tokens: str = "tokens", items: int = SKETCH_ITEMS) -> DataFrame:
+    """(sketch, n): at most SKETCH_PARTS mergeable sketches of the frequent tokens, each of a bounded size, and the tokens they saw."""
+    dealt = _tokens(docs, tokens).withColumn("part", F.spark_partition_id() % SKETCH_PARTS)
+    sums = dealt.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(token, {items})").alias("sketch"), F.count("*").alias("n"))
+    return sums.select("sketch", "n")
+
+
+def sketch_stream(docs: DataFrame, path: str, checkpoint: str, tokens: str = "tokens", items: int = SKETCH_ITEMS) -> DataStreamWriter:
+    """Keep the sketches of each batch of a stream below `path`; a batch that runs again replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        token_sketches(batch, tokens, items).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def top_tokens(docs: DataFrame, k: int = 25, tokens: str = "tokens", sketches: DataFrame | None = None, items: int = SKETCH_ITEMS, candidates: int = SKETCH_CANDIDATES) -> DataFrame:
+    """(token, n) of the k most frequent tokens, exact, without a count of every token.
+
+    The sketches, of these documents or as `sketch_stream` kept them, name at most `candidates` tokens, and only these are counted.
+    A sketch's error is at most 3.5 / items of all tokens, and a token that it does not name has at most twice that, or the
+    least estimate that it names. If the k-th count is not above this, as when counts are nearly flat, all tokens are counted.
+    """
+    candidates = min(candidates, items)  # a sketch names no more than it tracks
+    if (_tokens(docs, tokens) if sketches is None else sketches).isEmpty():
+        return most_common(token_counts(docs, tokens), k)
+    if sketches is None:
+        sketches = token_sketches(docs, tokens, items)
+    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"), F.sum("n").alias("n"))
+    named, n = merged.select(F.expr(f"approx_top_k_estimate(sketch, {candidates})"), "n").first()
+    bound = 2 * 3.5 / items * (n or 0)
+    if named and len(named) >= candidates:
+        bound = max(bound, min(x["count"] for x in named))
+    listed = docs.sparkSession.createDataFrame([(x["item"],) for x in named or []], "token string")
+    top = most_common(_tokens(docs, tokens).join(listed, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n")), k)
+    found = [(r.token, r.n) for r in top.collect()]  # k rows
+    if len(found) == k and found[-1][1] > bound:
+        return docs.sparkSession.createDataFrame(found, "token string, n long")
+    return most_common(token_counts(docs, tokens), k)
+
+
 def build_vocabulary(counts: DataFrame, max_tokens: int = MAX_TOKENS, min_count: int = MIN_COUNT) -> DataFrame:
     """(token, id): two specials, then tokens seen more than `min_count` times by falling count."""
     ranked = top_by_count(counts.filter(F.col("n") > min_count), max_tokens)

@@ -80,6 +80,22 @@ def token_freq_top25(spark, sf_dir):
     return vocabulary.most_common(_counts(spark, sf_dir))
 
 
+@query("token_top_sketch", f"WITH {t.TOKENS} SELECT * FROM cnt ORDER BY n DESC, token LIMIT 25")
+def token_top_sketch(spark, sf_dir):
+    """The most frequent tokens by sketches, then counts of what these name."""
+    return vocabulary.top_tokens(t.documents(spark, sf_dir))
+
+
+@query("stream_token_top_sketch", f"WITH {t.TOKENS} SELECT * FROM cnt ORDER BY n DESC, token LIMIT 25")
+def stream_token_top_sketch(spark, sf_dir):
+    """The same from sketches that a stream kept per batch."""
+    path, sketches = scratch_path(spark, "token-lists"), scratch_path(spark, "sketches")
+    t.documents(spark, sf_dir).select("tokens").repartition(4).write.parquet(path)
+    stream = spark.readStream.schema("tokens array<string>").option("maxFilesPerTrigger", 2).parquet(path)
+    vocabulary.sketch_stream(stream, sketches, scratch_path(spark, "state")).start().awaitTermination()
+    return vocabulary.top_tokens(spark.read.parquet(path), sketches=spark.read.parquet(sketches))
+
+
 @query("token_freq_bottom25", f"WITH {t.TOKENS} SELECT * FROM cnt ORDER BY n, token DESC LIMIT 25")
 def token_freq_bottom25(spark, sf_dir):
     return vocabulary.least_common(_counts(spark, sf_dir))

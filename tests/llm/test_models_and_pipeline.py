@@ -108,6 +108,25 @@ def test_rarer_entries_are_joined(spark, monkeypatch, head):
     test_cross_entropy(spark, cross_entropy.RAREST, 2)
 
 
+def test_models_in_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(cross_entropy, "BUCKET_BYTES", 128)
+    monkeypatch.setattr(cross_entropy, "HEAD_KEYS", 9)
+    test_cross_entropy(spark, cross_entropy.RAREST, 2)
+    test_cross_entropy_edges(spark)
+
+
+def test_lists_of_a_bucket():
+    buckets = np.random.default_rng(3).integers(0, 3, 4 * cross_entropy.LIST)
+    of, lists = cross_entropy.by_bucket(buckets, np.arange(len(buckets)))
+    held = collections.defaultdict(list)
+    for b, x in zip(of.to_pylist(), lists.to_pylist()):
+        part = np.frombuffer(x, np.int64).tolist()
+        assert 0 < len(part) <= cross_entropy.LIST
+        held[b] += part
+    assert held == {b: np.flatnonzero(buckets == b).tolist() for b in range(3)}
+    assert [len(x) for x in cross_entropy.by_bucket(buckets[:0], buckets[:0])] == [0, 0]
+
+
 def test_models_follow_the_input(spark):
     """Words and pairs found twice count in a large table too, and so does every good document."""
     rng = np.random.default_rng(10)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from moodgauge.functions import numeric, text
-from moodgauge.operators import lexicon, models, packing, posts, scoring, splits, vocabulary
+from moodgauge.operators import lexicon, metrics, models, packing, posts, scoring, sequences, splits, vocabulary
 from moodgauge.plans import tables as t
 from moodgauge.plans.registry import query
 from moodgauge.session import scratch_path
@@ -499,3 +499,56 @@ def score_events_facts(spark, sf_dir):
         (bear.between(0, 1) & bull.between(0, 1) & vader.between(0, 1)).alias("within_bounds"),
         (F.abs(F.col("bull_vader_sentiment") - 0.8 * bull - 0.2 * vader) < 1e-9).alias("blended"),
     )
+
+
+# words and pairs of the labelled texts, their buckets, and the ratios of the training rows
+_PAIRED = f"""l AS (SELECT doc_id, quality AS labels, lower(text) AS low FROM documents JOIN labels USING (doc_id)),
+r AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || doc_id)) AS rn, count(*) OVER () AS m FROM l),
+w AS (SELECT doc_id, labels, rn <= floor(0.75 * m) AS fits, list_filter(string_split_regex(low, '\\s+'), lambda x: x <> '') AS t FROM r),
+g AS (SELECT doc_id, labels, fits, unnest(list_distinct(list_transform(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])),
+  lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % {sequences.BUCKETS}))) AS feature FROM w),
+c AS (SELECT feature, count(*) FILTER (labels = 1) AS bull, count(*) FILTER (labels = 0) AS bear FROM g WHERE fits GROUP BY feature),
+a AS (SELECT sum(bull) + {sequences.BUCKETS} AS all_bull, sum(bear) + {sequences.BUCKETS} AS all_bear FROM c),
+q AS (SELECT feature, bull, bear, ln(((bull + 1) / all_bull) / ((bear + 1) / all_bear)) AS ratio FROM c, a),
+b AS (SELECT ln((count(*) FILTER (labels = 1) + 1) / (count(*) FILTER (labels = 0) + 1)) AS bias FROM w WHERE fits),
+s AS (SELECT w.doc_id, w.labels, coalesce(z.total, 0) + bias AS score FROM b, w
+  LEFT JOIN (SELECT doc_id, sum(ratio) AS total FROM g LEFT JOIN q USING (feature) WHERE NOT fits GROUP BY doc_id) z ON z.doc_id = w.doc_id WHERE NOT fits)"""
+
+
+def _raw_split(spark, sf_dir):
+    path = scratch_path(spark, "paired")
+    labelled = t.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("labels"))
+    splits.split_rows(t.table(spark, sf_dir, "documents").select("doc_id", "text").join(labelled, "doc_id"), "doc_id").write.parquet(path)
+    rows = spark.read.parquet(path)
+    return rows.filter("split = 'train'"), rows.filter("split = 'test'")
+
+
+def _pair_scores(spark, sf_dir):
+    training, rows = _raw_split(spark, sf_dir)
+    scored = sequences.score(rows, sequences.fit(training), sequences.prior(training), "doc_id")
+    return rows.select("doc_id", "labels").join(scored, "doc_id")
+
+
+@query("word_pair_ratios", f"WITH {_PAIRED} SELECT feature, bull, bear, round(ratio, 9) AS ratio FROM q")
+def word_pair_ratios(spark, sf_dir):
+    """Log-count ratios of hashed words and word pairs, over three quarters of the labelled texts."""
+    ratios = sequences.fit(_raw_split(spark, sf_dir)[0])
+    return ratios.withColumn("ratio", F.round("ratio", 9))
+
+
+@query("word_pair_scores", f"WITH {_PAIRED} SELECT doc_id, labels, round(score, 6) AS score, (score > 0)::INT AS prediction FROM s")
+def word_pair_scores(spark, sf_dir):
+    """Scores of the last quarter by the ratios of the others."""
+    return _pair_scores(spark, sf_dir).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "word_pair_metrics",
+    f"""WITH {_PAIRED}, k AS (SELECT count(*) AS n, count(*) FILTER ((score > 0) = (labels = 1)) AS ok,
+  count(*) FILTER (score > 0 AND labels = 1) AS tp, count(*) FILTER (score > 0) AS guessed, count(*) FILTER (labels = 1) AS actual FROM s)
+SELECT n, ok / n AS accuracy, coalesce(tp / nullif(guessed, 0), 0) AS precision, coalesce(tp / nullif(actual, 0), 0) AS recall,
+  coalesce(2 * tp / nullif(guessed + actual, 0), 0) AS f1 FROM k""",
+)
+def word_pair_metrics(spark, sf_dir):
+    """Held-out accuracy, precision, recall and F1 of the word-pair classifier."""
+    return metrics.binary_metrics(_pair_scores(spark, sf_dir), label="labels")

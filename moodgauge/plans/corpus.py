@@ -90,8 +90,11 @@ def token_top_sketch(spark, sf_dir):
 def stream_token_top_sketch(spark, sf_dir):
     """The same from sketches that a stream kept per batch."""
     path, sketches = scratch_path(spark, "token-lists"), scratch_path(spark, "sketches")
-    t.documents(spark, sf_dir).select("tokens").repartition(4).write.parquet(path)
-    stream = spark.readStream.schema("tokens array<string>").option("maxFilesPerTrigger", 2).parquet(path)
+    docs = t.documents(spark, sf_dir).select("tokens")
+    # a file per part of the scan, so that none grows with the input, and four at least for several batches
+    (docs if docs.rdd.getNumPartitions() >= 4 else docs.repartition(4)).write.parquet(path)
+    half = max(2, -(-len(spark.read.parquet(path).inputFiles()) // 2))
+    stream = spark.readStream.schema("tokens array<string>").option("maxFilesPerTrigger", half).parquet(path)
     vocabulary.sketch_stream(stream, sketches, scratch_path(spark, "state")).start().awaitTermination()
     return vocabulary.top_tokens(spark.read.parquet(path), sketches=spark.read.parquet(sketches))
 

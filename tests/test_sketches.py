@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodgauge.operators import vocabulary
+from moodgauge.plans import corpus
 
 
 @pytest.fixture(scope="module")
@@ -42,3 +43,15 @@ def test_sketches_are_few(spark, lists):
     held = vocabulary.token_sketches(docs)
     assert held.count() <= vocabulary.SKETCH_PARTS
     assert held.agg(F.sum("n")).first()[0] == sum(x is not None for row in lists for x in row or [])
+
+
+def test_stream_has_a_file_per_part_of_the_scan(spark, lists, tmp_path, monkeypatch):
+    texts = [(k, " ".join(x for x in row or [] if x)) for k, row in enumerate(lists)]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(11).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    dealt = spark.read.parquet(f"{tmp_path}/documents.parquet").repartition(11).select(F.split("text", " ").alias("tokens"))
+    monkeypatch.setattr(corpus.t, "documents", lambda spark, path: dealt)
+    got = as_rows(corpus.stream_token_top_sketch(spark, str(tmp_path)))
+    assert len(list((tmp_path / "token-lists").glob("part-*"))) == 11
+    assert len(list((tmp_path / "sketches").glob("batch_id=*"))) == 2
+    assert got == plain([x.split(" ") for _, x in texts], 25)

@@ -3,7 +3,7 @@
 import json
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizerModel, RegexTokenizer, Tokenizer
@@ -31,15 +31,22 @@ def _vocabulary(corpus: DataFrame, text: str, limit: int, min_count: int) -> lis
 
 def train(corpus: DataFrame, text: str = "text", label: str = "labels", vocabulary: int = MAX_TOKENS,
           min_count: int = MIN_COUNT, iterations: int = 20, l2: float = 0.01) -> PipelineModel:
-    """Two-class text classifier over weighted token counts."""
+    """Two-class text classifier over weighted token counts.
+
+    Texts are cut into tokens once for the vocabulary and once for the counts; the counts are kept for the passes of the fit.
+    """
     terms = _vocabulary(corpus, text, vocabulary, min_count)
-    stages = [
+    counting = PipelineModel([
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+"),
         CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="_counts"),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=l2),
-    ]
-    return Pipeline(stages=stages).fit(corpus)
+    ])
+    counts = counting.transform(corpus).select(label, "_counts").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weights = IDF(inputCol="_counts", outputCol="_features").fit(counts)
+        classifier = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=iterations, regParam=l2)
+        return PipelineModel([*counting.stages, weights, classifier.fit(weights.transform(counts))])
+    finally:
+        counts.unpersist()
 
 
 def probabilities(model: PipelineModel, posts: DataFrame) -> DataFrame:

@@ -172,6 +172,19 @@ def test_learning_curve(corpus):
     assert got[1].accuracy == 1.0
 
 
+def test_training_cuts_texts_twice(spark, corpus):
+    """Once for the vocabulary and once for the counts, however many passes a fit makes."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    models.train(corpus.withColumn("text", counted("text")), iterations=5)
+    assert seen.value == 2 * 200
+
+
 def test_topics(corpus):
     got = models.topics(corpus.select(F.col("text").alias("body")), k=3, iterations=2).collect()
     assert len(got) == 3 and all(len(r.terms) == 3 and None not in r.terms for r in got)

@@ -28,6 +28,8 @@ TOKEN = re.compile(r'"(?:[^"\\\n]|\\[^\n])*\\?"?|[{}\[\],:\n]|[^\s"{}\[\],:]+')
 #: Something behind a closing bracket that may not follow it within a record, or an opening brace where no value may stand.
 SEVERAL = r"[}\]]\s*[^\s,:}\]]|[^\s:\[]\s*\{"
 VALUE, COMMA, OTHER = "value", "comma", "other"
+# Python holds so many lines at a time, and sends records on once they have so many characters.
+ROWS, TEXT_SIZE = 256, 1 << 19
 PIECES = "kind string, value string, file string, block long"
 
 
@@ -133,7 +135,7 @@ def _pieces(lines: DataFrame) -> DataFrame:
 
         def batch_of(kind: str, texts: list[str]) -> pa.RecordBatch:
             n = len(texts)
-            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), pa.array(texts, pa.string()), pa.array([now[0]] * n, pa.string()), pa.array([now[1]] * n, pa.int64())], ["kind", "value", "file", "block"])
+            return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(kind), n), pa.array(texts, pa.string()), pa.repeat(pa.scalar(now[0], pa.string()), n), pa.repeat(pa.scalar(now[1], pa.int64()), n)], ["kind", "value", "file", "block"])
 
         def finish() -> Iterator[pa.RecordBatch]:
             rest = "".join(splitter.parts)
@@ -146,18 +148,23 @@ def _pieces(lines: DataFrame) -> DataFrame:
             else:
                 yield batch_of("head", [rest])
 
-        for batch in batches:
-            values = batch.column("value").to_pylist()
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("file", "block", "whole"))))
-            found: list[str] = []
-            for key, value in zip(keys, values):
+        for rows in (batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS)):
+            keys = zip(*(rows.column(c).to_pylist() for c in ("file", "block", "whole")))
+            found, size = [], 0
+            for key, value in zip(keys, rows.column("value")):
                 if key != now:
                     if now is not None:
                         yield batch_of("record", found)
                         yield from finish()
-                        found = []
+                        found, size = [], 0
                     now, splitter = key, Splitter(synced=key[1] == 0)
-                found += splitter.feed(value + "\n")
+                text = value.as_py() + "\n"
+                for record in splitter.feed(text):
+                    found.append(record)
+                    size += len(record)
+                    if size >= TEXT_SIZE:
+                        yield batch_of("record", found)
+                        found, size = [], 0
             if found:
                 yield batch_of("record", found)
         if now is not None:

@@ -2,6 +2,7 @@
 
 import json
 import random
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -62,6 +63,15 @@ def test_splits_give_the_records_of_the_whole_file(spark, tmp_path, size):
     assert sorted(got) == sorted(x for text in texts for x in plain(text))
 
 
+def test_records_are_sent_on_in_small_batches():
+    line = "".join(f'{{"msgType":"{"x" * 500}","data":{{"id":{k}}}}}' for k in range(8))
+    given = pa.RecordBatch.from_pydict({"value": [line] * 3000, "file": ["f"] * 3000, "block": [0] * 3000, "whole": [False] * 3000})
+    frame = SimpleNamespace(mapInArrow=lambda work, schema: work)
+    batches = list(concatenated._pieces(frame)(iter([given])))
+    assert sum(b.num_rows for b in batches if b.column("kind")[0].as_py() == "record") == 8 * 3000
+    assert max(b.nbytes for b in batches) < 2 << 20
+
+
 def test_events_of_concatenated_files_and_of_one_text(spark, tmp_path):
     texts = ['{"msgType":"a","data":{"id":1}} {"msgType":"b","data":{"id":2}}', '{"msgType":"c","data":{"id":3,"text":"no end', '{"msgType":"d",', ' "data":', '{"id":4}}', '[{"msgType":"e"}]']
     (tmp_path / "e.json").write_text("\n".join(texts))

@@ -94,6 +94,21 @@ def weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def term_rows(held: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Term vectors and labels by doc_id, which is unique. The vectors are the one copy beside the table: the driver has few MB."""
+    place = np.empty(held.num_rows, np.int64)
+    place[np.argsort(held["doc_id"].to_numpy())] = np.arange(held.num_rows)
+    rows, labels = np.empty((held.num_rows, TERMS), np.float32), np.empty(held.num_rows, np.float32)
+    labels[place] = held["label"].to_numpy()
+    at = 0
+    for chunk in held["terms"].chunks:
+        for k in range(0, len(chunk), BLOCK_ROWS):
+            part = chunk.slice(k, BLOCK_ROWS).to_pylist()
+            rows[place[at : at + len(part)]] = np.frombuffer(b"".join(part), np.float32).reshape(len(part), TERMS)
+            at += len(part)
+    return rows, labels
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class: int = 2500, rank: int = 64, k: int = 15, sharpness: float = 4.0) -> Model | None:
     """The latent-semantic vectors of at most 2 * per_class labelled documents; None if there is none."""
 
@@ -106,19 +121,22 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
                 )
 
     sample = labelled_texts(docs, labels, column, per_class).mapInArrow(tx.tidy(vectors), "doc_id long, label int, terms binary")
-    held = sample.toArrow().sort_by([("doc_id", "ascending"), ("terms", "ascending")])
+    held = sample.toArrow()
     if held.num_rows == 0:
         return None
-    counts = np.frombuffer(b"".join(held["terms"].to_pylist()), np.float32).reshape(held.num_rows, TERMS)
-    weights = np.log((len(counts) + 1) / ((counts > 0).sum(0) + 1)).astype(np.float32) + 0.1
-    rows = weighted(counts, weights)
+    rows, labels_of = term_rows(held)
+    del held
+    known = sum((rows[k : k + BLOCK_ROWS] > 0).sum(0) for k in range(0, len(rows), BLOCK_ROWS))
+    weights = np.log((len(rows) + 1) / (known + 1)).astype(np.float32) + 0.1
+    for k in range(0, len(rows), BLOCK_ROWS):
+        rows[k : k + BLOCK_ROWS] = weighted(rows[k : k + BLOCK_ROWS], weights)
     rank = min(rank, len(rows), TERMS)
     basis = np.linalg.qr(rows.T @ (rows @ np.random.default_rng(1).standard_normal((TERMS, rank + 16), np.float32)))[0]
     for _ in range(3):
         basis = np.linalg.qr(rows.T @ (rows @ basis))[0]
     _, _, right = np.linalg.svd(rows @ basis, full_matrices=False)
     projection = np.ascontiguousarray((basis @ right.T)[:, :rank], np.float32)
-    return Model(weights, projection, unit(rows @ projection), held["label"].to_numpy().astype(np.float32), min(k, len(rows)), sharpness)
+    return Model(weights, projection, unit(rows @ projection), labels_of, min(k, len(rows)), sharpness)
 
 
 def vote(model: Model, counts: np.ndarray) -> np.ndarray:

@@ -3,13 +3,16 @@
 import collections
 import math
 import os
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from moodgauge.llm import cross_entropy, language
+from moodgauge.llm import cross_entropy, language, neighbours
 from moodgauge.llm.graph import components
 from moodgauge.llm.tables import table
 
@@ -250,3 +253,21 @@ def test_stages_decide(spark, stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SF_DIR).count() == stages["packing"].count()
+
+
+def test_fit_of_neighbours_holds_the_vectors_once(monkeypatch):
+    """Beside the table that came from the tasks, the driver has one copy of the term vectors and the room for a block."""
+    n, rng = 3 * neighbours.BLOCK_ROWS + 7, np.random.default_rng(2)
+    ids, terms = rng.permutation(n), rng.random((n, neighbours.TERMS), np.float32)
+    table = pa.table({"doc_id": ids, "label": pa.array(ids % 2, pa.int32()), "terms": pa.chunked_array([pa.array([x.tobytes() for x in part], pa.binary()) for part in np.array_split(terms, 3)])})
+    rows, labels = neighbours.term_rows(table)
+    assert (rows == terms[np.argsort(ids)]).all() and (labels == np.arange(n) % 2).all()
+    size = rows.nbytes
+    del rows, labels
+    sample = SimpleNamespace(mapInArrow=lambda work, schema: SimpleNamespace(toArrow=lambda: table))
+    monkeypatch.setattr(neighbours, "labelled_texts", lambda *given: sample)
+    tracemalloc.start()
+    model = neighbours.fit(None, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.vectors) == n and peak < 3 * size

@@ -126,10 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
         return None
     rows, labels_of = term_rows(held)
     del held
-    known = sum((rows[k : k + BLOCK_ROWS] > 0).sum(0) for k in range(0, len(rows), BLOCK_ROWS))
+    blocks = [rows[at : at + BLOCK_ROWS] for at in range(0, len(rows), BLOCK_ROWS)]
+    known = sum((block > 0).sum(0) for block in blocks)
     weights = np.log((len(rows) + 1) / (known + 1)).astype(np.float32) + 0.1
-    for k in range(0, len(rows), BLOCK_ROWS):
-        rows[k : k + BLOCK_ROWS] = weighted(rows[k : k + BLOCK_ROWS], weights)
+    for block in blocks:
+        block[:] = weighted(block, weights)
     rank = min(rank, len(rows), TERMS)
     basis = np.linalg.qr(rows.T @ (rows @ np.random.default_rng(1).standard_normal((TERMS, rank + 16), np.float32)))[0]
     for _ in range(3):

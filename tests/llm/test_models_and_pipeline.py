@@ -270,4 +270,4 @@ def test_fit_of_neighbours_holds_the_vectors_once(monkeypatch):
     model = neighbours.fit(None, None)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert len(model.vectors) == n and peak < 3 * size
+    assert len(model.vectors) == n and model.k == 15 and peak < 3 * size

@@ -15,6 +15,7 @@ MIN_COUNT = 2
 UNKNOWN_ID, PAD_ID = 0, 1
 # sketches of frequent tokens: how many tokens one tracks, how many there are at most, and how many tokens are counted after them
 SKETCH_ITEMS, SKETCH_PARTS, SKETCH_CANDIDATES = 1 << 14, 64, 1 << 11
+TOKEN_BUCKETS = 1 << 16  # a count for each, broadcast
 
 
 def token_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -55,12 +56,20 @@ def sketch_stream(docs: DataFrame, path: str, checkpoint: str, tokens: str = "to
     return docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
+def frequent_tokens(docs: DataFrame, least: int, tokens: str = "tokens", buckets: int = TOKEN_BUCKETS) -> DataFrame:
+    """(token) with repeats: all that occur `least` times or more, and few others, by counts of so many buckets of tokens."""
+    rows = _tokens(docs, tokens).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int"))
+    held = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("bucket")
+    return rows.join(F.broadcast(held), "bucket", "left_semi").select("token")
+
+
 def top_tokens(docs: DataFrame, k: int = 25, tokens: str = "tokens", sketches: DataFrame | None = None, items: int = SKETCH_ITEMS, candidates: int = SKETCH_CANDIDATES) -> DataFrame:
     """(token, n) of the k most frequent tokens, exact, without a count of every token.
 
     The sketches, of these documents or as `sketch_stream` kept them, name at most `candidates` tokens, and only these are counted.
     A sketch's error is at most 3.5 / items of all tokens, and a token that it does not name has at most twice that, or the
-    least estimate that it names. If the k-th count is not above this, as when counts are nearly flat, all tokens are counted.
+    least estimate that it names. If the k-th count is not above this, as when counts are nearly flat, all tokens are counted whose
+    bucket of tokens has the k-th count at least, as no other can be among the k.
     """
     candidates = min(candidates, items)  # a sketch names no more than it tracks
     if (_tokens(docs, tokens) if sketches is None else sketches).isEmpty():
@@ -72,12 +81,14 @@ def top_tokens(docs: DataFrame, k: int = 25, tokens: str = "tokens", sketches: D
     bound = 2 * 3.5 / items * (n or 0)
     if named and len(named) >= candidates:
         bound = max(bound, min(x["count"] for x in named))
-    listed = docs.sparkSession.createDataFrame([(x["item"],) for x in named or []], "token string")
+    # at most `candidates` rows; else all tokens would be shuffled to meet them
+    listed = F.broadcast(docs.sparkSession.createDataFrame([(x["item"],) for x in named or []], "token string"))
     top = most_common(_tokens(docs, tokens).join(listed, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n")), k)
     found = [(r.token, r.n) for r in top.collect()]  # k rows
     if len(found) == k and found[-1][1] > bound:
         return docs.sparkSession.createDataFrame(found, "token string, n long")
-    return most_common(token_counts(docs, tokens), k)
+    likely = frequent_tokens(docs, found[-1][1], tokens) if len(found) == k else _tokens(docs, tokens)
+    return most_common(likely.groupBy("token").agg(F.count("*").alias("n")), k)
 
 
 def build_vocabulary(counts: DataFrame, max_tokens: int = MAX_TOKENS, min_count: int = MIN_COUNT) -> DataFrame:

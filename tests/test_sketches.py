@@ -55,3 +55,19 @@ def test_stream_has_a_file_per_part_of_the_scan(spark, lists, tmp_path, monkeypa
     assert len(list((tmp_path / "token-lists").glob("part-*"))) == 11
     assert len(list((tmp_path / "sketches").glob("batch_id=*"))) == 2
     assert got == plain([x.split(" ") for _, x in texts], 25)
+
+
+@pytest.mark.parametrize("least", [1, 40, 10_000_000])
+def test_rare_tokens_are_left_out_before_the_count(spark, lists, least):
+    docs = spark.createDataFrame([(x,) for x in lists], "tokens array<string>").repartition(5)
+    counts = collections.Counter(x for row in lists for x in row or [] if x is not None)
+    got = collections.Counter(r.token for r in vocabulary.frequent_tokens(docs, least, buckets=1 << 12).collect())
+    assert all(got[x] == n for x, n in counts.items() if n >= least) and all(n == counts[x] for x, n in got.items())
+    assert len(got) <= 2 * sum(n >= least for n in counts.values())
+
+
+def test_tokens_are_not_shuffled_to_their_candidates(spark, lists, monkeypatch):
+    plans, plain_most = [], vocabulary.most_common
+    monkeypatch.setattr(vocabulary, "most_common", lambda counts, k: plans.append(counts._jdf.queryExecution().executedPlan().toString()) or plain_most(counts, k))
+    vocabulary.top_tokens(spark.createDataFrame([(x,) for x in lists], "tokens array<string>"), 10, items=4096, candidates=500)
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0]

@@ -17,7 +17,9 @@ that serves.
 4. Adjacent suffixes that share `length` bytes form a group; all its members but the earliest begin a repeated string.
 
 Anchors and windows are counted over all texts; those found twice are told by bitmaps of fixed size, which may let more through but
-never fewer. Equal phrases meet in an aggregate that combines before its shuffle and in a join; hot phrases, of which there is a
+never fewer. Text is dealt to slices, and a count says in which slices a hash stands. If there is much to tell, slices are worked on in
+groups, one after the other, each with a bitmap of the hashes that stand in it; so a bitmap is filled by the repeats of a bounded part of
+the text, whatever the size of the whole (up to SLICES groups; beyond, groups grow). Equal phrases meet in an aggregate that combines before its shuffle and in a join; hot phrases, of which there is a
 bounded number, are broadcast to it, so a group of copies of any size stays where it was read. Sorting partitions by the first
 symbol, so suffixes that compare equal are together.
 
@@ -28,19 +30,23 @@ order is that of the scan; further columns are ignored; an empty table gives an
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodgauge.llm import text as tx
 from moodgauge.llm.exact import located
 from moodgauge.llm.tables import drop, stored
+from moodgauge.session import scratch_path
 
 FILTER_BITS = 27
+# parts of the text (bits of a long), and the places of repeated hashes that those of them which share a bitmap should have at most
+SLICES = 60
+GROUP_PLACES = 1 << 24
 ROWS_PER_PART = 1 << 20
 # what may be broadcast of the removed runs: rows, and runs in their arrays (16 bytes each)
 BROADCAST_SPANS = 1 << 18
@@ -90,34 +96,82 @@ def phrases(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return first, size, least[first], tx.span_hash(running, first, first + size + (length - 1))
 
 
+def free(df: DataFrame) -> None:
+    """Lets Spark's cleaner see that the shuffle files of jobs that are over are no longer needed."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def slice_of_row() -> Column:
+    """The slice of a row of the documents: that of its block of 1,000 rows of a file."""
+    return F.pmod(F.xxhash64(F.regexp_replace("locator", r"\d{1,3}$", "")), F.lit(SLICES))
+
+
+def slice_of_file(table: DataFrame) -> Column:
+    """The slice of a row of a stored table: that of its file, by which the scan of a group leaves the other files out."""
+    name = table.metadataColumn("_metadata").getField("file_name")
+    return F.pmod(F.regexp_extract(name, r"part-(\d+)", 1).cast("long"), F.lit(SLICES))
+
+
 def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(hash, varied) of the anchors of two phrases or more in all texts; varied: not all of these phrases are equal."""
+    """(hash, varied, n, slices) of the anchors of two phrases or more in all texts; varied: not all of these phrases are equal; slices: as bits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in tx.chunks(batch, "text", CHUNK_BYTES):
-                _, _, anchor, phrase = phrases(data, offsets, length)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(phrase.view(np.int64))], ["hash", "phrase"])
+            for rows, data, offsets in tx.chunks(batch, "text", CHUNK_BYTES):
+                first, _, anchor, phrase = phrases(data, offsets, length)
+                bits = np.left_shift(1, rows.column("slice").to_numpy())[np.searchsorted(offsets, first, "right") - 1]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(phrase.view(np.int64)), pa.array(bits)], ["hash", "phrase", "bits"])
+
+    found = docs.select("text", slice_of_row().alias("slice")).mapInArrow(tx.tidy(count), "hash long, phrase long, bits long")
+    counted = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("phrase").alias("low"), F.max("phrase").alias("high"), F.bit_or("bits").alias("slices"))
+    return counted.filter("n > 1").select("hash", (F.col("low") != F.col("high")).alias("varied"), "n", "slices")
 
-    found = docs.select("text").mapInArrow(tx.tidy(count), "hash long, phrase long")
-    counted = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("phrase").alias("low"), F.max("phrase").alias("high"))
-    return counted.filter("n > 1").select("hash", (F.col("low") != F.col("high")).alias("varied"))
+
+def groups_for(many: DataFrame) -> int:
+    """How many groups the slices make, for the places of all hashes."""
+    places = many.agg(F.sum("n")).first()[0] or 0
+    return max(1, min(SLICES, -(-places // GROUP_PLACES)))
+
+
+def inside(many: DataFrame, group: int, groups: int) -> DataFrame:
+    """The hashes that stand in a group of slices."""
+    return many.filter(F.col("slices").bitwiseAND(F.lit(sum(1 << k for k in range(group, SLICES, groups)))) != 0)
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the low bits of all hashes."""
-    place = F.pmod("hash", F.lit(1 << FILTER_BITS)) + 1  # these functions count from 1
-    blocks = hashes.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    """A bitmap of fixed size with two bits for each hash, placed by its low bits and by those above them."""
+    both = [F.pmod(F.shiftrightunsigned("hash", shift), F.lit(1 << FILTER_BITS)) + 1 for shift in (0, FILTER_BITS)]  # these functions count from 1
+    place = F.col("place")
+    blocks = hashes.select(F.explode(F.array(*both)).alias("place")).groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for block, bits in blocks.toLocalIterator():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
         out[(block - 1) * 4096 : block * 4096] = np.frombuffer(bits, np.uint8)
     return out
 
 
+def in_groups(groups: int, held: Callable[[int], list[DataFrame]], work: Callable[..., DataFrame], name: str) -> DataFrame:
+    """`work(group, *bitmaps)` of one group after the other, written as one table; `held` gives the hashes that the bitmaps of a group have."""
+    path = None
+    for group in range(groups):
+        hashes = held(group)
+        context = hashes[0].sparkSession.sparkContext
+        shared = [context.broadcast(bitmap(some)) for some in hashes]
+        rows = work(group, *shared)
+        path = path or scratch_path(rows.sparkSession, name)
+        rows.write.mode("append").parquet(path)
+        for one in shared:
+            one.destroy()
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def among(held: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the bitmap has the low bits of each hash."""
-    low = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-    return (held[low >> 3] >> (low & 7).astype(np.uint8)) & 1 > 0
+    """Whether the bitmap has both bits of each hash."""
+    out = np.ones(len(hashes), bool)
+    for shift in (0, FILTER_BITS):
+        some = np.flatnonzero(out)
+        place = (hashes[some] >> np.uint64(shift) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+        out[some] = (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+    return out
 
 
 def pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray, given: np.ndarray) -> pa.Array:
@@ -130,38 +184,35 @@ def pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray, given: np.ndarr
 RUNS = "doc long, start long, size long, doc_id long, hash long, body binary"
 
 
-def repeated_phrases(docs: DataFrame, repeated: np.ndarray, varied: np.ndarray, length: int) -> DataFrame:
+def repeated_phrases(docs: DataFrame, repeated: Broadcast, varied: Broadcast, length: int) -> DataFrame:
     """The phrases of repeated anchors as runs, with bodies if the anchor has different ones. Rows with a locator say which row a doc is."""
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(repeated), context.broadcast(varied)
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in RUNS.split(", ")] + ["locator"]
-        number = TaskContext.get().partitionId() << 30
         for batch in batches:
             for rows, data, offsets in tx.chunks(batch, "text", CHUNK_BYTES):
                 first, size, anchor, phrase = phrases(data, offsets, length)
-                kept = among(shared[0].value, anchor)
+                kept = among(repeated.value, anchor)
                 first, size, anchor, phrase = first[kept], size[kept], anchor[kept], phrase[kept]
                 if len(first):
                     text = np.searchsorted(offsets, first, "right") - 1
-                    bodies = pieces(data, first, first + size + length - 1, among(shared[1].value, anchor))
-                    doc_id = rows.column("doc_id").cast(pa.int64()).take(pa.array(text))
-                    columns = [*map(pa.array, (number + text, first - offsets[text], size)), doc_id, pa.array(phrase.view(np.int64)), bodies]
+                    bodies = pieces(data, first, first + size + length - 1, among(varied.value, anchor))
+                    doc, doc_id = (rows.column(c).cast(pa.int64()).take(pa.array(text)) for c in ("doc", "doc_id"))
+                    columns = [doc, pa.array(first - offsets[text]), pa.array(size), doc_id, pa.array(phrase.view(np.int64)), bodies]
                     yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(first), pa.string())], names)
-                    some = np.unique(text)
+                    some = pa.array(np.unique(text))
                     nothing = [pa.nulls(len(some), c.type) for c in columns[1:]]
-                    yield pa.RecordBatch.from_arrays([pa.array(number + some), *nothing, rows.column("locator").cast(pa.string()).take(pa.array(some))], names)
-                number += rows.num_rows
+                    yield pa.RecordBatch.from_arrays([rows.column("doc").take(some), *nothing, rows.column("locator").cast(pa.string()).take(some)], names)
 
-    return docs.select("doc_id", "text", "locator").mapInArrow(tx.tidy(give), RUNS + ", locator string")
+    return docs.select("doc", "doc_id", "text", "locator").mapInArrow(tx.tidy(give), RUNS + ", locator string")
 
 
 def folded(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc, start, size) of the runs whose bytes also stand earlier; the other runs that have a body."""
+    """(doc, start, size) of the runs whose bytes also stand earlier; the other runs that have a body, with their slice."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "start")
     counted = runs.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     firsts = stored(counted.select(F.col("hash").alias("of"), F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"), "n"), "firsts")
+    free(runs)
     total = firsts.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") * HOT_KEYS > total
     often = F.broadcast(firsts.filter(hot))  # fewer than HOT_KEYS rows
@@ -175,7 +226,8 @@ def folded(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rare = runs.join(often, same, "left_anti")
     told = stored(told_by(runs.join(often, same, "left_semi"), often).unionByName(told_by(rare, firsts.filter(~hot))), "told")
     drop(firsts)
-    return told.filter("later").select("doc", "start", "size"), told.filter("not later").select("doc", "start", "size", "doc_id", "body")
+    free(runs)
+    return stored(told.filter("later").select("doc", "start", "size"), "later"), told.filter("not later").select("doc", "start", "size", "doc_id", "body", slice_of_file(told).alias("slice"))
 
 
 def bodies(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -187,17 +239,18 @@ def bodies(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray,
 
 
 def repeated_windows(runs: DataFrame, length: int) -> DataFrame:
-    """(hash) of the windows that stand in two runs or more."""
+    """(hash, n, slices) of the windows that stand in two runs or more; slices: as bits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in bodies(batch):
+            for rows, data, offsets in bodies(batch):
                 found = place_hashes(data, length)
-                found = found[np.arange(len(found)) + length <= np.repeat(offsets[1:], np.diff(offsets))[: len(found)]]
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["hash"])
+                whole = np.arange(len(found)) + length <= np.repeat(offsets[1:], np.diff(offsets))[: len(found)]
+                bits = np.repeat(np.left_shift(1, rows.column("slice").to_numpy()), np.diff(offsets))[: len(found)]
+                yield pa.RecordBatch.from_arrays([pa.array(found[whole].view(np.int64)), pa.array(bits[whole])], ["hash", "bits"])
 
-    counted = runs.select("body").mapInArrow(tx.tidy(count), "hash long").groupBy("hash").agg(F.count("*").alias("n"))
-    return counted.filter("n > 1").select("hash")
+    found = runs.select("body", "slice").mapInArrow(tx.tidy(count), "hash long, bits long")
+    return found.groupBy("hash").agg(F.count("*").alias("n"), F.bit_or("bits").alias("slices")).filter("n > 1")
 
 
 def passing(data: np.ndarray, offsets: np.ndarray, held: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,40 +260,38 @@ def passing(data: np.ndarray, offsets: np.ndarray, held: np.ndarray, length: int
     return whole & among(held, hashes), hashes
 
 
-def narrowed(runs: DataFrame, held: np.ndarray, length: int) -> DataFrame:
+def narrowed(runs: DataFrame, held: Broadcast, length: int) -> DataFrame:
     """The runs of windows that may be repeated within the given ones."""
-    shared = runs.sparkSession.sparkContext.broadcast(held)
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in bodies(batch):
-                begin, end = tx.spans(passing(data, offsets, shared.value, length)[0], offsets)
+                begin, end = tx.spans(passing(data, offsets, held.value, length)[0], offsets)
                 run = np.searchsorted(offsets, begin, "right") - 1
                 hashes = tx.span_hash(tx.sums(data), begin, end + (length - 1))
                 start = rows.column("start").to_numpy()[run] + begin - offsets[run]
                 columns = [rows.column("doc").take(pa.array(run)), pa.array(start), pa.array(end - begin), rows.column("doc_id").take(pa.array(run))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(hashes.view(np.int64)), pieces(data, begin, end + length - 1, np.ones(len(begin), bool))], [part.split()[0] for part in RUNS.split(", ")])
 
-    return runs.mapInArrow(tx.tidy(give), RUNS)
+    return runs.drop("slice").mapInArrow(tx.tidy(give), RUNS)
 
 
 PLACES = "s long, g long, t0 long, t1 long, t2 long, prefix long, doc long, start long, doc_id long"
 
 
-def places(runs: DataFrame, held: np.ndarray, length: int, unit: int) -> DataFrame:
-    """A row per window that may be repeated, and per place its comparison needs.
+def places(runs: DataFrame, group: int, groups: int, held: Broadcast, length: int, unit: int) -> DataFrame:
+    """A row per window that may be repeated, and per place its comparison needs, of the runs of a group.
 
     s and g: string and place in it; t0, t1, t2: its symbol and the next two (0: none); prefix: the hash of `length` bytes if the window may
     be repeated.
     """
-    shared = runs.sparkSession.sparkContext.broadcast(held)
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in PLACES.split(", ")]
-        number = TaskContext.get().partitionId() << 30
+        number = (TaskContext.get().partitionId() * groups + group) << 30
         for batch in batches:
             for rows, data, offsets in bodies(batch):
-                begins, prefix = passing(data, offsets, shared.value, length)
+                begins, prefix = passing(data, offsets, held.value, length)
                 end = np.repeat(offsets[1:], np.diff(offsets))
                 used = begins.copy()
                 for step in range(unit, length, unit):
@@ -262,7 +313,7 @@ def places(runs: DataFrame, held: np.ndarray, length: int, unit: int) -> DataFra
                     yield pa.RecordBatch.from_arrays([*columns, rows.column("doc").take(pa.array(run)), pa.array(start), rows.column("doc_id").take(pa.array(run))], names)
                 number += rows.num_rows
 
-    return runs.mapInArrow(tx.tidy(give), PLACES)
+    return runs.drop("slice").mapInArrow(tx.tidy(give), PLACES)
 
 
 def parts_of(rows: int) -> int:
@@ -294,7 +345,11 @@ def names(sample: DataFrame, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ranks), part, np.int32)), batch.column("s"), batch.column("g"), pa.array(ranks)], ["part", "s", "g", "local"])
 
     ranged = sample.select("s", "g", "t0", "t1", "t2").repartitionByRange(parts_of(rows), "t0").sortWithinPartitions("t0", "t1", "t2")
-    return numbered(stored(ranged.mapInArrow(tx.tidy(name), "part int, s long, g long, local long"), "names"), "local", "rank")
+    local = stored(ranged.mapInArrow(tx.tidy(name), "part int, s long, g long, local long"), "names")
+    named = stored(numbered(local, "local", "rank"), "named")
+    drop(local)
+    free(named)
+    return named
 
 
 def follow(df: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -364,7 +419,7 @@ def sample_ranks(rows: DataFrame, depth: int) -> DataFrame:
     """(s, g, rank) of the sampled suffixes: names of triples, or the ranks of the strings of names if triples don't tell enough."""
     sample = rows.filter("g % 3 <> 0")
     count = sample.count()
-    named = stored(names(sample, count), "named")
+    named = names(sample, count)
     if depth <= 3 or named.agg(F.max("rank")).first()[0] in (None, count):
         return named
     turned = named.select((F.col("s") * 2 + F.col("g") % 3 - 1).alias("s"), F.floor(F.col("g") / 3).alias("g"), F.col("rank").alias("t0"))
@@ -376,7 +431,7 @@ def sample_ranks(rows: DataFrame, depth: int) -> DataFrame:
 
 
 def later_windows(rows: DataFrame, depth: int) -> DataFrame:
-    """(doc, start, size) of the windows that the suffix array of all places finds to stand earlier as well."""
+    """(doc, start, size) of the windows that the suffix array of all places finds to stand earlier as well. Deletes the places."""
     ranks = sample_ranks(rows.select("s", "g", "t0", "t1", "t2"), depth)
 
     def compare(columns, given, order):
@@ -388,28 +443,59 @@ def later_windows(rows: DataFrame, depth: int) -> DataFrame:
         chosen = order[earliest[later]]
         return pa.RecordBatch.from_arrays([pa.array(columns["doc"][chosen]), pa.array(columns["start"][chosen]), pa.array(np.ones(len(chosen), np.int64))], ["doc", "start", "size"])
 
-    return in_order(stored(follow(rows, ranks), "followed"), rows.count(), compare, "doc long, start long, size long")
+    full = stored(follow(rows, ranks), "followed")
+    drop(rows, ranks)
+    free(full)
+    return in_order(full, full.count(), compare, "doc long, start long, size long")
+
+
+def phrases_in_groups(docs: DataFrame, length: int) -> DataFrame:
+    """The phrases of repeated anchors of all documents, and the locators of these."""
+    many = stored(repeated_anchors(docs, length), "anchors")
+    free(docs)
+    groups = groups_for(many)
+    # numbers in the order of the scan, whatever the groups
+    docs = docs.withColumn("doc", F.monotonically_increasing_id())
+    # else each group would read all texts
+    dealt = stored(docs.withColumn("group", slice_of_row() % groups), "dealt", partitionBy="group") if groups > 1 else None
+
+    def work(group: int, repeated: Broadcast, varied: Broadcast) -> DataFrame:
+        return repeated_phrases(docs if dealt is None else dealt.filter(F.col("group") == group), repeated, varied, length)
+
+    def held(group: int) -> list[DataFrame]:
+        some = inside(many, group, groups)
+        return [some, some.filter("varied")]
+
+    found = in_groups(groups, held, work, "phrases")
+    drop(many)
+    if dealt is not None:
+        drop(dealt)
+    free(docs)
+    return found
+
+
+def windows_in_groups(runs: DataFrame, work: Callable[..., DataFrame], length: int, name: str) -> DataFrame:
+    """`work(runs, group, groups, bitmap)` of the runs of each group; the bitmap has the windows there that stand in two runs or more. Deletes the runs."""
+    many = stored(repeated_windows(runs, length), "windows")
+    free(runs)
+    groups = groups_for(many)
+    made = in_groups(groups, lambda group: [inside(many, group, groups)], lambda group, held: work(runs.filter(F.col("slice") % groups == group), group, groups, held), name)
+    drop(many, runs)
+    return made
 
 
 def repeats(docs: DataFrame, length: int = 100, unit: int = 50) -> DataFrame:
     """(locator, begins, ends): the maximal runs of bytes covered by strings of `length` bytes that also start earlier."""
     if length % unit or length % 2:
         raise ValueError("length must be even and a multiple of unit")
-    many = stored(repeated_anchors(docs, length), "anchors")
-    held = bitmap(many), bitmap(many.filter("varied"))
-    drop(many)
-    free(docs)
-    found = stored(repeated_phrases(docs, *held, length), "phrases")
+    found = phrases_in_groups(docs, length)
     rows_of = stored(found.filter("locator is not null").select("doc", "locator"), "rows")
     whole, left = folded(found.filter("locator is null").drop("locator"))
     drop(found)
-    free(docs)
-    runs = stored(narrowed(left, bitmap(repeated_windows(left, length)), length), "runs")
-    free(docs)
+    runs = windows_in_groups(left, lambda some, group, groups, held: narrowed(some, held, length), length, "runs")
     partly, left = folded(runs)
     drop(runs)
-    rows = stored(places(left, bitmap(repeated_windows(left, length)), length, unit), "places")
-    free(docs)
+    rows = windows_in_groups(left, lambda some, group, groups, held: places(some, group, groups, held, length, unit), length, "places")
     starts = whole.unionByName(partly).unionByName(later_windows(rows, length // unit))
 
     def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,15 +516,10 @@ def repeats(docs: DataFrame, length: int = 100, unit: int = 50) -> DataFrame:
     spans = starts.repartition("doc").sortWithinPartitions("doc", "start").mapInArrow(tx.tidy(join_up), "doc long, begin long, end long")
     of_doc = spans.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
     out = stored(of_doc.join(rows_of, "doc").select("locator", F.col("spans.begin").alias("begins"), F.col("spans.end").alias("ends")), "spans")
-    drop(whole, partly, rows, rows_of)
+    drop(starts, rows_of)
     return out
 
 
-def free(df: DataFrame) -> None:
-    """Lets Spark's cleaner see that the shuffle files of jobs that are over are no longer needed."""
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes that stay) and kept_sha256 for every document."""
     rows = located(docs)

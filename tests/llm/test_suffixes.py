@@ -8,6 +8,7 @@ import pytest
 
 from moodgauge.llm import suffixes
 from moodgauge.llm.tables import table
+from moodgauge.session import scratch_path
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -103,3 +104,65 @@ def test_sliding():
     for n, window in ((1, 1), (7, 3), (9, 3), (50, 7), (3, 5)):
         values = rng.integers(0, 9, n).astype(np.uint64)
         assert suffixes.sliding(values, window, np.minimum, 99).tolist() == [values[k : k + window].min() for k in range(n - window + 1)]
+
+
+def some_rows(rng):
+    """Neighbours share most of a text, some texts share a passage with far ones; ids come twice and are missing."""
+    word = lambda n: " ".join("".join(rng.choice(list("abcdeé"), 4)) for _ in range(n))
+    passages, rows = [word(30) for _ in range(3)], []
+    for k in range(80):
+        base = word(40)
+        rows += [(k // 2, base + passages[k % 3][k % 5 :]), (k // 2 if k % 4 else None, base[20:150] + "!" + base[:90])]
+    return rows
+
+
+def test_each_group_of_slices_has_bitmaps_of_its_own(spark, monkeypatch):
+    """The bitmaps of a group hold the repeats that stand in it, not those of all texts, and the result is that of one group."""
+    path = scratch_path(spark, "grouped")
+    rows = some_rows(np.random.default_rng(5))
+    spark.createDataFrame(spark.sparkContext.parallelize(rows, 40), "doc_id long, text string").write.parquet(path)
+    docs, fills, made = spark.read.parquet(path), [], suffixes.bitmap
+
+    def kept(hashes):
+        out = made(hashes)
+        fills.append(int(np.unpackbits(out).sum()))
+        return out
+
+    monkeypatch.setattr(suffixes, "bitmap", kept)
+    one = found(docs)
+    assert len(fills) == 4
+    monkeypatch.setattr(suffixes, "SLICES", 3, raising=False)
+    monkeypatch.setattr(suffixes, "GROUP_PLACES", 1, raising=False)
+    assert found(docs) == one
+    grouped = fills[4:]
+    assert len(grouped) == 12
+    for all_of, parts in zip(fills, (grouped[0:6:2], grouped[1:6:2], grouped[6:9], grouped[9:])):
+        assert all_of <= sum(parts)
+    assert max(grouped[0:6:2]) < 0.9 * fills[0]
+    assert max(grouped[6:9]) < 0.9 * fills[2]
+
+
+def test_grouped_repeats(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "SLICES", 4, raising=False)
+    monkeypatch.setattr(suffixes, "GROUP_PLACES", 1, raising=False)
+    rows = [(k, text) for k, (_, text) in enumerate(some_rows(np.random.default_rng(6))[:60])] + [(None, "ab" * 80), (90, "ab" * 90), (91, None)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 20), "doc_id long, text string")
+    assert found(docs) == plain(rows, 100)
+
+
+def test_bitmap_lets_few_others_through(spark):
+    rng = np.random.default_rng(7)
+    given, others = (rng.integers(-(1 << 63), 1 << 63, n) for n in (2000, 1 << 20))
+    held = suffixes.bitmap(spark.createDataFrame([(int(x),) for x in given], "hash long"))
+    assert suffixes.among(held, given.view(np.uint64)).all()
+    assert not suffixes.among(held, others.view(np.uint64)).any()
+
+
+def test_scan_of_a_group_leaves_other_files_out(spark):
+    path = scratch_path(spark, "files")
+    spark.range(0, 1200, 1, 12).write.parquet(path)
+    table = spark.read.parquet(path)
+    some = table.select("id", suffixes.slice_of_file(table).alias("slice")).filter("slice % 4 = 1")
+    assert sorted(r.slice for r in some.select("slice").distinct().collect()) == [1, 5, 9]
+    scan = some._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert scan.selectedPartitions().totalNumberOfFiles() == 3

@@ -47,6 +47,9 @@ FILTER_BITS = 27
 # parts of the text (bits of a long), and the places of repeated hashes that those of them which share a bitmap should have at most
 SLICES = 60
 GROUP_PLACES = 1 << 24
+# runs that are folded at once, by their hashes, up to so many rounds
+FOLD_ROWS = 1 << 24
+FOLD_ROUNDS = 4
 ROWS_PER_PART = 1 << 20
 # what may be broadcast of the removed runs: rows, and runs in their arrays (16 bytes each)
 BROADCAST_SPANS = 1 << 18
@@ -209,25 +212,44 @@ def repeated_phrases(docs: DataFrame, repeated: Broadcast, varied: Broadcast, le
 
 def folded(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc, start, size) of the runs whose bytes also stand earlier; the other runs that have a body, with their slice."""
+    rounds = max(1, min(FOLD_ROUNDS, -(-runs.count() // FOLD_ROWS)))
+    path = None
+    for k in range(rounds):
+        # equal bytes meet in one round, and the shuffles of a round go before the next
+        some = runs.filter(F.pmod(F.shiftright("hash", 32), F.lit(rounds)) == k) if rounds > 1 else runs
+        firsts = stored(first_runs(some), "firsts")
+        free(runs)
+        both = told_by(some, firsts)
+        path = path or scratch_path(runs.sparkSession, "told")
+        both.write.mode("append").parquet(path)
+        drop(firsts)
+        free(runs)
+    told = runs.sparkSession.read.schema(both.schema).parquet(path)
+    later, left = told.filter("later"), told.filter("not later")
+    return stored(later.select("doc", "start", "size"), "later"), left.select("doc", "start", "size", "doc_id", "body", slice_of_file(told).alias("slice"))
+
+
+def first_runs(runs: DataFrame) -> DataFrame:
+    """(of, first_doc, first_start, n): the first of the runs with one hash, where there are several."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "start")
     counted = runs.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    firsts = stored(counted.select(F.col("hash").alias("of"), F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"), "n"), "firsts")
-    free(runs)
+    return counted.select(F.col("hash").alias("of"), F.col("first.doc").alias("first_doc"), F.col("first.start").alias("first_start"), "n")
+
+
+def told_by(runs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(doc, start, size, doc_id, body, later) of the runs that are not the first of their hash (no body), and of the others that have a body."""
     total = firsts.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") * HOT_KEYS > total
     often = F.broadcast(firsts.filter(hot))  # fewer than HOT_KEYS rows
     same = F.col("hash") == F.col("of")
     later = F.col("of").isNotNull() & ((F.col("doc") != F.col("first_doc")) | (F.col("start") != F.col("first_start")))
 
-    def told_by(some: DataFrame, known: DataFrame) -> DataFrame:
+    def told(some: DataFrame, known: DataFrame) -> DataFrame:
         joined = some.join(known, same, "left").filter(later | F.col("body").isNotNull())
         return joined.select("doc", "start", "size", "doc_id", F.when(~later, F.col("body")).alias("body"), later.alias("later"))
 
     rare = runs.join(often, same, "left_anti")
-    told = stored(told_by(runs.join(often, same, "left_semi"), often).unionByName(told_by(rare, firsts.filter(~hot))), "told")
-    drop(firsts)
-    free(runs)
-    return stored(told.filter("later").select("doc", "start", "size"), "later"), told.filter("not later").select("doc", "start", "size", "doc_id", "body", slice_of_file(told).alias("slice"))
+    return told(runs.join(often, same, "left_semi"), often).unionByName(told(rare, firsts.filter(~hot)))
 
 
 def bodies(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -17,11 +17,12 @@ that serves.
 4. Adjacent suffixes that share `length` bytes form a group; all its members but the earliest begin a repeated string.
 
 Anchors and windows are counted over all texts; those found twice are told by bitmaps of fixed size, which may let more through but
-never fewer. Text is dealt to slices, and a count says in which slices a hash stands. If there is much to tell, slices are worked on in
-groups, one after the other, each with a bitmap of the hashes that stand in it; so a bitmap is filled by the repeats of a bounded part of
-the text, whatever the size of the whole (up to SLICES groups; beyond, groups grow). Equal phrases meet in an aggregate that combines before its shuffle and in a join; hot phrases, of which there is a
-bounded number, are broadcast to it, so a group of copies of any size stays where it was read. Sorting partitions by the first
-symbol, so suffixes that compare equal are together.
+never fewer. Text is dealt to slices, and a count says in which slices a hash stands. If there is much to tell, slices are worked on
+in groups, one after the other, each with a bitmap of the hashes that stand in it; so a bitmap is filled by the repeats of a bounded
+part of the text, whatever the size of the whole (up to SLICES groups; beyond, groups grow). Equal phrases meet in an aggregate that
+combines before its shuffle and in a join, in a few rounds of hashes if there are many; hot phrases, of which there is a bounded
+number, are broadcast to it, so a group of copies of any size stays where it was read. Sorting partitions by the first symbol, so
+suffixes that compare equal are together.
 
 Defined cases: a null or empty text has no byte; a null doc_id counts as later than all others; among rows with equal doc_ids the
 order is that of the scan; further columns are ignored; an empty table gives an empty result.

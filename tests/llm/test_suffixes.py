@@ -142,7 +142,8 @@ def test_each_group_of_slices_has_bitmaps_of_its_own(spark, monkeypatch):
     assert max(grouped[6:9]) < 0.9 * fills[2]
 
 
-def test_grouped_repeats(spark, monkeypatch):
+def test_repeats_in_groups_and_rounds(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "FOLD_ROWS", 1, raising=False)
     monkeypatch.setattr(suffixes, "SLICES", 4, raising=False)
     monkeypatch.setattr(suffixes, "GROUP_PLACES", 1, raising=False)
     rows = [(k, text) for k, (_, text) in enumerate(some_rows(np.random.default_rng(6))[:60])] + [(None, "ab" * 80), (90, "ab" * 90), (91, None)]
